@@ -41,6 +41,12 @@ def rs(digits: int, *cols: str) -> str:
     return ", ".join(r(c, digits) for c in cols)
 
 
+def line(part: str, y: str, x: str) -> str:
+    """Slope or intercept in SQL; identity where the fit is degenerate (NULL or NaN)."""
+    default = "1.0" if part == "slope" else "0.0"
+    return f"coalesce(nullif(regr_{part}({y}, {x}), 'nan'::DOUBLE), {default})"
+
+
 def _mentioned(text: str) -> list[str]:
     return [name for name in CTES if re.search(rf"\b{name}\b", text)]
 
@@ -251,11 +257,11 @@ CTES["model_rows"] = """
       FROM weekly WINDOW w AS (PARTITION BY category ORDER BY order_week))
      WHERE k > CASE WHEN n > 52 THEN 52 WHEN n > 12 THEN 12 WHEN n > 8 THEN 8 WHEN n > 4 THEN 4
                     WHEN n > 2 THEN 2 WHEN n > 1 THEN 1 ELSE 0 END)"""
-CTES["roll_lines"] = """
-  SELECT category, coalesce(regr_intercept(units, units_roll4), 0) AS a, coalesce(regr_slope(units, units_roll4), 1) AS b
+CTES["roll_lines"] = f"""
+  SELECT category, {line('intercept', 'units', 'units_roll4')} AS a, {line('slope', 'units', 'units_roll4')} AS b
   FROM model_rows WHERE split = 'train' GROUP BY category"""
-CTES["price_lines"] = """
-  SELECT category, coalesce(regr_intercept(units, avg_price), 0) AS a, coalesce(regr_slope(units, avg_price), 1) AS b
+CTES["price_lines"] = f"""
+  SELECT category, {line('intercept', 'units', 'avg_price')} AS a, {line('slope', 'units', 'avg_price')} AS b
   FROM model_rows WHERE split = 'train' GROUP BY category"""
 CTES["pred"] = """
   SELECT order_week, category, units AS y, a + b * units_roll4 AS yhat
@@ -266,8 +272,8 @@ CTES["per_category"] = """
     avg(abs((y - yhat) / greatest(y, 1e-6))) AS "MAPE", corr(y, yhat) ** 2 AS "R2",
     sum(abs(y - yhat)) / greatest(sum(abs(y)), 1e-9) AS "wMAPE"
   FROM pred GROUP BY category"""
-CTES["calibration"] = """
-  SELECT category, coalesce(regr_slope(y, yhat), 1.0) AS scale_b, coalesce(regr_intercept(y, yhat), 0.0) AS offset_a,
+CTES["calibration"] = f"""
+  SELECT category, {line('slope', 'y', 'yhat')} AS scale_b, {line('intercept', 'y', 'yhat')} AS offset_a,
     avg(yhat - y) AS "Bias_units" FROM pred GROUP BY category"""
 CTES["val_prices"] = """
   SELECT category, avg(avg_price) AS avg_price_val FROM weekly

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from weekloom.functions.columns import mean_of, name_key, number, season
 from weekloom.functions.grouped import one_row, ranked_within, top_k
 from weekloom.operators.features import CATEGORY, LAGGED, LAGS, ROLLED, WEEK
-from weekloom.operators.model import Predictor
+from weekloom.operators.model import ExpressionPredictor, Predictor
+from weekloom.session import stage
 from weekloom.sources.schemas import PRICE_CHANGE_COLUMNS
 from weekloom.sources.tables import standardize_columns
 
@@ -30,7 +31,7 @@ def recent_mean(df: DataFrame, cols: Sequence[str] = ("avg_price", "rev_count",
 def future_weeks(history: DataFrame, horizon: int = HORIZON) -> Column:
     """Array of the ``horizon`` Mondays after the last week of the whole history."""
     last = history.agg(F.max(WEEK)).scalar()
-    return F.transform(F.sequence(F.lit(1), F.lit(horizon)), lambda i: F.date_add(last, i * 7))
+    return F.sequence(F.date_add(last, 7), F.date_add(last, 7 * horizon), F.expr("interval 7 days"))
 
 
 def future_grid(history: DataFrame, horizon: int = HORIZON) -> DataFrame:
@@ -104,7 +105,7 @@ def series_state(history: DataFrame, keep: int) -> DataFrame:
         F.sort_array(F.collect_list(F.struct(*cols))).alias("rows"), F.max("week_idx").alias("last_idx")
     )
     out = rows.select(
-        CATEGORY, "last_idx", *[F.transform("rows", lambda r, c=c: r.getField(c).cast("double")).alias(f"h_{c}") for c in LAGGED]
+        CATEGORY, "last_idx", *[F.col("rows").getField(c).cast("array<double>").alias(f"h_{c}") for c in LAGGED]
     )
     recents = {
         f"{c}_recent": mean_of([F.try_element_at(f"h_{c}", F.lit(-i)) for i in range(1, RECENT + 1)])
@@ -113,8 +114,10 @@ def series_state(history: DataFrame, keep: int) -> DataFrame:
     return out.withColumns(recents)
 
 
-def _step_features(step: int, policy: FeaturePolicy) -> dict[str, Column]:
-    now = F.col("plan")[step - 1]
+def _step_features(
+    now: Column, history: Callable[[str], Column], step: Column, policy: FeaturePolicy
+) -> dict[str, Column]:
+    """Features of the planned week ``now``, given the arrays of known and predicted values."""
     known = policy.roll - 1 if policy.include_current else policy.roll
     features: dict[str, Column] = {
         WEEK: now.getField("week"),
@@ -127,15 +130,60 @@ def _step_features(step: int, policy: FeaturePolicy) -> dict[str, Column]:
     }
     for c in LAGGED:
         for lag in policy.lags:
-            features[f"{c}_lag{lag}"] = F.try_element_at(f"h_{c}", F.lit(-lag))
+            features[f"{c}_lag{lag}"] = F.try_element_at(history(c), F.lit(-lag))
     for c in ROLLED:
-        features[f"{c}_roll{policy.roll}"] = mean_of([F.try_element_at(f"h_{c}", F.lit(-i)) for i in range(1, known + 1)])
+        last = [F.try_element_at(history(c), F.lit(-i)) for i in range(1, known + 1)]
+        features[f"{c}_roll{policy.roll}"] = mean_of(last)
     if policy.revenue_proxy:
         units = F.coalesce(features["units_lag1"], features[f"units_roll{policy.roll}"], F.lit(0.0))
         features["revenue"] = features["avg_price"] * units
     return features
 
 
+_DONE = "array<struct<week:date,price:double,units:double>>"
+
+
+def _advance(features: dict[str, Column], units: Column, history: Callable[[str], Column], done: Column) -> dict[str, Column]:
+    """The arrays after a step: the planned week joins the history with its predicted units."""
+    price = features["avg_price"]
+    latest = {**{c: features[c] for c in LAGGED if c not in ROLLED}, "units": units, "revenue": price * units}
+    row = F.struct(features[WEEK].alias("week"), price.alias("price"), units.alias("units"))
+    arrays = {f"h_{c}": F.array_append(history(c), latest[c].cast("double")) for c in LAGGED}
+    return {**arrays, "done": F.array_append(done, row)}
+
+
+def _fold(state: DataFrame, predictor: ExpressionPredictor, policy: FeaturePolicy) -> DataFrame:
+    """All steps inside one expression per series: a fold over the planned weeks."""
+    start = F.struct(*[F.col(f"h_{c}") for c in LAGGED], F.array().cast(_DONE).alias("done"))
+
+    def step(acc: Column, now: Column) -> Column:
+        def history(c: str) -> Column:
+            return acc.getField(f"h_{c}")
+
+        features = _step_features(now, history, F.size(acc.getField("done")) + 1, policy)
+        units = predictor.expression(features).cast("double")
+        after = _advance(features, units, history, acc.getField("done"))
+        return F.struct(*[value.alias(name) for name, value in after.items()])
+
+    return state.withColumn("done", F.aggregate("plan", start, step, lambda acc: acc.getField("done")))
+
+
+def _iterate(state: DataFrame, predictor: Predictor, policy: FeaturePolicy, horizon: int) -> DataFrame:
+    """One job per step over one row per series; each state is written, so plans stay short."""
+    carried = [c for c in state.columns if not c.startswith("h_")]
+
+    def history(c: str) -> Column:
+        return F.col(f"h_{c}")
+
+    state = state.withColumn("done", F.array().cast(_DONE))
+    for step in range(1, horizon + 1):
+        features = _step_features(F.get("plan", F.lit(step - 1)), history, F.lit(step), policy)
+        scored = predictor.predict(state.withColumns(features))
+        after = _advance({c: F.col(c) for c in features}, F.col("prediction"), history, F.col("done"))
+        state = stage(scored.select(*carried, *[value.alias(name) for name, value in after.items()]), "forecast-state")
+    return state
+
+
 def recursive_forecast(
     history: DataFrame,
     plan: DataFrame,
@@ -148,9 +196,10 @@ def recursive_forecast(
 ) -> DataFrame:
     """Predict ``horizon`` weeks, each step feeding its prediction to the next one's lags.
 
-    The state is one row per series (category and ``by`` columns of the plan), so a step is a
-    projection over that row: after one shuffle by category the steps move no data, and all
-    scenarios advance together. Returns order_week, category, ``by``, avg_price, units, revenue.
+    The state is one row per series (category and ``by`` columns of the plan): after one
+    shuffle by category the steps move no data, and all scenarios advance together.
+    Predictors that are a column expression run all steps in one pass; fitted pipelines run
+    one small job per step. Returns order_week, category, ``by``, avg_price, units, revenue.
     """
     policy = policy or FeaturePolicy()
     keys = [CATEGORY, *by]
@@ -160,26 +209,14 @@ def recursive_forecast(
     else:
         marked = holidays.select(F.col("date").alias(WEEK)).distinct().withColumn("holiday", F.lit(1))
         weeks = weeks.join(marked, WEEK, "left").withColumn("holiday", F.coalesce("holiday", F.lit(0)))
-    plans = weeks.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(WEEK).alias("week"), "price", "holiday"))).alias("plan")
-    )
-    state = series_state(history, max(policy.lags)).join(plans, CATEGORY)
-    state = predictor.attach(state)
-    carried = [c for c in state.columns if not c.startswith("h_")]
-    done: Column = F.array().cast("array<struct<week:date,price:double,units:double>>")
-    state = state.withColumn("done", done)
-    for step in range(1, horizon + 1):
-        scored = predictor.predict(state.withColumns(_step_features(step, policy)))
-        units, revenue = F.col("prediction"), F.col("avg_price") * F.col("prediction")
-        latest = {"units": units, "revenue": revenue, **{c: F.col(c) for c in LAGGED if c not in ROLLED}}
-        row = F.struct(F.col(WEEK).alias("week"), F.col("avg_price").alias("price"), units.alias("units"))
-        state = scored.select(
-            *carried,
-            *[F.array_append(f"h_{c}", value.cast("double")).alias(f"h_{c}") for c, value in latest.items()],
-            F.array_append("done", row).alias("done"),
-        )
-    rows = state.select(*keys, F.inline("done"))
-    return rows.select(
+    in_order = F.sort_array(F.collect_list(F.struct(F.col(WEEK).alias("week"), "price", "holiday")))
+    plans = weeks.groupBy(*keys).agg(F.slice(in_order, 1, horizon).alias("plan"))
+    state = predictor.attach(series_state(history, max(policy.lags)).join(plans, CATEGORY))
+    if isinstance(predictor, ExpressionPredictor):
+        state = _fold(state, predictor, policy)
+    else:
+        state = _iterate(state, predictor, policy, horizon)
+    return state.select(*keys, F.inline("done")).select(
         F.col("week").alias(WEEK),
         *keys,
         F.col("price").alias("avg_price"),

@@ -7,14 +7,15 @@ once, ``predict`` adds a ``prediction`` column without moving any data.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from abc import ABC, abstractmethod
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -32,6 +33,19 @@ class Predictor(Protocol):
     def predict(self, df: DataFrame) -> DataFrame: ...
 
 
+class ExpressionPredictor(ABC):
+    """A predictor that is one column expression over the features."""
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        return df
+
+    @abstractmethod
+    def expression(self, features: Mapping[str, Column]) -> Column: ...
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("prediction", self.expression({c: F.col(c) for c in df.columns}))
+
+
 @dataclass
 class TreeParams:
     """The boosting settings of the model that sees current revenue."""
@@ -127,7 +141,7 @@ def fit_linear_by_group(df: DataFrame, y: str, x: str, group: str = CATEGORY) ->
 
 
 @dataclass
-class LinearPredictor:
+class LinearPredictor(ExpressionPredictor):
     """Line per category over one feature; categories without a line predict the feature."""
 
     params: DataFrame
@@ -139,21 +153,18 @@ class LinearPredictor:
         joined = df.join(lines, self.group, "left")
         return joined.withColumns({"_a": F.coalesce("_a", F.lit(0.0)), "_b": F.coalesce("_b", F.lit(1.0))})
 
-    def predict(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("prediction", F.col("_a") + F.col("_b") * F.col(self.x))
+    def expression(self, features: Mapping[str, Column]) -> Column:
+        return F.col("_a") + F.col("_b") * features[self.x]
 
 
 @dataclass
-class RollingMeanPredictor:
+class RollingMeanPredictor(ExpressionPredictor):
     """Next units = mean of the last four known weeks."""
 
     x: str = "units_roll4"
 
-    def attach(self, df: DataFrame) -> DataFrame:
-        return df
-
-    def predict(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("prediction", F.coalesce(F.col(self.x), F.lit(0.0)))
+    def expression(self, features: Mapping[str, Column]) -> Column:
+        return F.coalesce(features[self.x], F.lit(0.0))
 
 
 def score(model: Predictor, df: DataFrame) -> DataFrame:

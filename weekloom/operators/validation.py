@@ -5,7 +5,7 @@ Prediction tables have columns order_week, category, y (actual) and yhat (predic
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.functions.grouped import one_row, top_k
@@ -17,15 +17,17 @@ TINY = 1e-9
 FLOOR = 1e-6
 BIAS_LIMIT = 5.0
 
-_ERROR = F.col("yhat") - F.col("y")
+
+def _error() -> Column:
+    return F.col("yhat") - F.col("y")
 
 
 def overall_metrics(pred: DataFrame) -> DataFrame:
-    err = F.abs(_ERROR)
+    err = F.abs(_error())
     return pred.agg(
         F.avg(err).alias("MAE"),
         (F.sum(err) / F.greatest(F.lit(TINY), F.sum(F.abs("y")))).alias("wMAPE"),
-        F.avg(_ERROR).alias("Bias"),
+        F.avg(_error()).alias("Bias"),
         F.pow(F.corr("y", "yhat"), 2).alias("R2"),
     )
 
@@ -37,13 +39,13 @@ def training_metrics(pred: DataFrame, split_sizes: DataFrame | None = None, r2:
     """
     y, yhat = F.greatest(F.col("y"), F.lit(FLOOR)), F.greatest(F.col("yhat"), F.lit(FLOOR))
     if r2 == "sse":
-        fit = 1 - F.try_divide(F.sum(F.pow(_ERROR, 2)), F.regr_syy("y", "y"))
+        fit = 1 - F.try_divide(F.sum(F.pow(_error(), 2)), F.regr_syy("y", "y"))
     elif r2 == "corr":
         fit = F.pow(F.corr("y", "yhat"), 2)
     else:
         raise ValueError(f"unknown r2: {r2}")
     metrics = pred.agg(
-        F.avg(F.abs(_ERROR)).alias("MAE"), F.avg(F.abs(y - yhat) / y).alias("MAPE"), fit.alias("R2")
+        F.avg(F.abs(_error())).alias("MAE"), F.avg(F.abs(y - yhat) / y).alias("MAPE"), fit.alias("R2")
     )
     if split_sizes is None:
         return metrics
@@ -59,13 +61,13 @@ def training_metrics(pred: DataFrame, split_sizes: DataFrame | None = None, r2:
 
 def metrics_by_category(pred: DataFrame) -> DataFrame:
     """Per category errors, worst wMAPE first; MAPE and R2 are the figures shown on charts."""
-    err = F.abs(_ERROR)
+    err = F.abs(_error())
     per = pred.groupBy(CATEGORY).agg(
         F.count("*").alias("n"),
         F.sum(err).alias("sum_abs_err"),
         F.sum(F.abs("y")).alias("sum_abs_y"),
         F.avg(err).alias("MAE"),
-        F.avg(_ERROR).alias("Bias"),
+        F.avg(_error()).alias("Bias"),
         F.sum("y").alias("Actual_sum"),
         F.avg(F.abs((F.col("y") - F.col("yhat")) / F.greatest(F.col("y"), F.lit(FLOOR)))).alias("MAPE"),
         F.pow(F.corr("y", "yhat"), 2).alias("R2"),
@@ -100,7 +102,7 @@ def calibration_by_category(pred: DataFrame) -> DataFrame:
     return pred.groupBy(CATEGORY).agg(
         F.coalesce(F.regr_slope("y", "yhat"), F.lit(1.0)).alias("scale_b"),
         F.coalesce(F.regr_intercept("y", "yhat"), F.lit(0.0)).alias("offset_a"),
-        F.avg(_ERROR).alias("Bias_units"),
+        F.avg(_error()).alias("Bias_units"),
     )
 
 
