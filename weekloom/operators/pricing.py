@@ -135,17 +135,17 @@ def select_within_budget(
         last = F.try_element_at("picks", F.lit(-1))
         after = F.struct(*[F.col("item").getField(f) for f in order]) > F.struct(*[last.getField(f) for f in order])
         fits = F.col("spent") + F.col("item.cost") <= F.col("budget")
-        best = (
-            items.join(state.select(*group, "budget", "spent", "picks"), group)
-            .where(fits & ((F.size("picks") == 0) | after))
-            .groupBy(*group)
-            .agg(F.min("item").alias("best"))
-        )
-        state = state.join(best, group, "left").select(
-            *group,
-            "budget",
-            (F.col("spent") + F.coalesce(F.col("best.cost"), F.lit(0.0))).alias("spent"),
-            F.when(F.col("best").isNull(), F.col("picks")).otherwise(F.array_append("picks", F.col("best"))).alias("picks"),
+        candidate = F.when(fits & ((F.size("picks") == 0) | after), F.col("item"))
+        state = (
+            state.join(items, group, "left")
+            .groupBy(*group, "budget", "spent", "picks")
+            .agg(F.min(candidate).alias("best"))
+            .select(
+                *group,
+                "budget",
+                (F.col("spent") + F.coalesce(F.col("best.cost"), F.lit(0.0))).alias("spent"),
+                F.when(F.col("best").isNull(), F.col("picks")).otherwise(F.array_append("picks", F.col("best"))).alias("picks"),
+            )
         )
         if round_no % rounds_per_stage == 0 and round_no < max_actions:
             state = stage(state, "budget-state")
