@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weekloom.functions.columns import number
 from weekloom.functions.grouped import measures_to_columns, median_of_counts, modes, one_row, value_counts
+from weekloom.session import stage
 
 UNKNOWN = "unknown"
 UNKNOWN_CITY = "unknown_city"
@@ -29,7 +30,9 @@ def impute_by_group_median(
     Values that are not positive (with ``allow_zero``: negative) count as missing, before any
     median is taken. The global median is over observed values, or, with
     ``fallback="filled"``, over the column after the group medians were put in; both come from
-    the same counts of distinct values, so ``df`` is read once for all medians.
+    the same counts of distinct values, so ``df`` is read once for all medians. The medians, one
+    row per group, are written out before the join: a table of known size can be broadcast
+    from the start, while an unmeasured one would first cost a shuffle of ``df`` by group.
     """
     valid = df.withColumns(
         {c: F.when(F.col(c) >= 0 if allow_zero else F.col(c) > 0, F.col(c).cast("double")) for c in cols}
@@ -45,9 +48,10 @@ def impute_by_group_median(
     elif fallback != "observed":
         raise ValueError(f"unknown fallback: {fallback}")
     overall = median_of_counts(seen.groupBy("measure", "value").agg(F.sum("n").alias("n")), [])
-    overall = one_row(measures_to_columns(overall, [], cols))
-    medians = measures_to_columns(by_group, [group], cols)
-    medians = medians.select(group, *[F.col(c).alias(f"_median_{c}") for c in cols])
+    overall = measures_to_columns(overall, [], cols).withColumn(group, F.lit(None).cast(df.schema[group].dataType))
+    medians = stage(measures_to_columns(by_group, [group], cols).unionByName(overall), "medians")
+    overall = one_row(medians.where(F.col(group).isNull()), *cols)
+    medians = medians.select(group, *[F.col(c).alias(f"_median_{c}") for c in cols]).where(F.col(group).isNotNull())
     columns = [c for c in df.columns if c not in cols]
     return valid.join(medians, group, "left").select(
         *columns, *[F.coalesce(F.col(c), F.col(f"_median_{c}"), overall.getField(c)).alias(c) for c in cols]

@@ -176,8 +176,10 @@ def _iterate(state: DataFrame, predictor: Predictor, policy: FeaturePolicy, hori
         return F.col(f"h_{c}")
 
     state = state.withColumn("done", F.array().cast(_DONE))
-    for step in range(1, horizon + 1):
-        features = _step_features(F.get("plan", F.lit(step - 1)), history, F.lit(step), policy)
+    # The step number comes from the state, so all steps share one compiled plan.
+    now, step = F.get("plan", F.size("done")), F.size("done") + 1
+    features = _step_features(now, history, step, policy)
+    for _ in range(horizon):
         scored = predictor.predict(state.withColumns(features))
         after = _advance({c: F.col(c) for c in features}, F.col("prediction"), history, F.col("done"))
         state = stage(scored.select(*carried, *[value.alias(name) for name, value in after.items()]), "forecast-state")
