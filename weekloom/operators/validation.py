@@ -22,13 +22,18 @@ def _error() -> Column:
     return F.col("yhat") - F.col("y")
 
 
+def _squared_correlation(a: str, b: str) -> Column:
+    """corr(a, b) squared; NULL where either side is constant (``corr`` would raise there)."""
+    return F.try_divide(F.pow(F.regr_sxy(a, b), F.lit(2)), F.regr_sxx(a, b) * F.regr_syy(a, b))
+
+
 def overall_metrics(pred: DataFrame) -> DataFrame:
     err = F.abs(_error())
     return pred.agg(
         F.avg(err).alias("MAE"),
         (F.sum(err) / F.greatest(F.lit(TINY), F.sum(F.abs("y")))).alias("wMAPE"),
         F.avg(_error()).alias("Bias"),
-        F.pow(F.corr("y", "yhat"), 2).alias("R2"),
+        _squared_correlation("y", "yhat").alias("R2"),
     )
 
 
@@ -41,7 +46,7 @@ def training_metrics(pred: DataFrame, split_sizes: DataFrame | None = None, r2:
     if r2 == "sse":
         fit = 1 - F.try_divide(F.sum(F.pow(_error(), 2)), F.regr_syy("y", "y"))
     elif r2 == "corr":
-        fit = F.pow(F.corr("y", "yhat"), 2)
+        fit = _squared_correlation("y", "yhat")
     else:
         raise ValueError(f"unknown r2: {r2}")
     metrics = pred.agg(
@@ -70,7 +75,7 @@ def metrics_by_category(pred: DataFrame) -> DataFrame:
         F.avg(_error()).alias("Bias"),
         F.sum("y").alias("Actual_sum"),
         F.avg(F.abs((F.col("y") - F.col("yhat")) / F.greatest(F.col("y"), F.lit(FLOOR)))).alias("MAPE"),
-        F.pow(F.corr("y", "yhat"), 2).alias("R2"),
+        _squared_correlation("y", "yhat").alias("R2"),
     )
     per = per.withColumn("wMAPE", F.col("sum_abs_err") / F.greatest(F.col("sum_abs_y"), F.lit(TINY)))
     return per.orderBy(F.desc_nulls_last("wMAPE"), CATEGORY)
