@@ -114,7 +114,7 @@ def _(t):
 
 @query("b3_geo_reference", f"SELECT zip, geo_city, geo_state, {rs(6, 'geo_lat', 'geo_lng')} FROM geo_ref")
 def _(t):
-    return rounded(t.geo, 6, "geo_lat", "geo_lng")
+    return rounded(cleaning.geo_reference(t.geolocation_raw), 6, "geo_lat", "geo_lng")
 
 
 @query("b4_fill_from_reference", "SELECT * FROM customers_clean")

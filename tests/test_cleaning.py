@@ -66,7 +66,7 @@ def test_fill_from_reference(spark, rows):
 
 
 def test_clean_items(spark):
-    sellers = spark.createDataFrame([("s1", "X")], "seller_id string, seller_state string")
+    sellers = spark.createDataFrame([("s1", "c", "X")], "seller_id string, seller_city string, seller_state string")
     items = spark.createDataFrame(
         [("o1", "p", "s1", "10", "1"), ("o2", "p", "s1", "-1", "2"), ("o3", "p", "s1", "x", "3"),
          (None, "p", "s1", "5", "1"), ("o4", "p", "s9", "7", "-2")],

@@ -6,50 +6,57 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from weekloom.session import stage
 
-def value_counts(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    """Rows of (keys, measure, value, n): how often each value of each column occurs per group.
 
-    NULL values are counted too. The map side combines equal values, so a hot group costs its
-    number of distinct values, not its number of rows.
-    """
+def add_bin(df: DataFrame) -> DataFrame:
+    """Add a whole number that grows with ``value``: bins about 0.1 % wide, finer around zero."""
+    return df.withColumn("bin", F.floor(F.asinh("value") * 1000))
+
+
+def binned_values(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """Long form (keys, measure, value, bin) of the columns; NULL values keep a NULL bin."""
     long = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(keys, cols, "measure", "value")
-    return long.groupBy(*keys, "measure", "value").agg(F.count("*").alias("n"))
+    return add_bin(long)
 
 
-def median_of_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """Exact median per group and measure of a value_counts table, as column ``median``.
+def bin_counts(binned: DataFrame, keys: list[str]) -> DataFrame:
+    return binned.groupBy(*keys, "measure", "bin").agg(F.count("*").alias("n"))
 
-    ``percentile`` would hold all distinct values of a group in one task. Here a monotone
-    function cuts values into bins about 0.1 % wide, bin totals tell which bin holds the
-    middle ranks, and only the values of that bin are put in order.
-    """
-    by = [*keys, "measure"]
-    binned = counts.where(F.col("value").isNotNull()).withColumn("_bin", F.floor(F.asinh("value") * 1000))
-    w = W.partitionBy(*by)
-    before = W.unboundedPreceding
-    low, high = F.expr("(_total - 1) div 2"), F.expr("_total div 2")
-    middle_bins = (
-        binned.groupBy(*by, "_bin")
-        .agg(F.sum("n").alias("_mass"))
-        .withColumns(
-            {
-                "_total": F.sum("_mass").over(w),
-                "_before": F.sum("_mass").over(w.orderBy("_bin").rowsBetween(before, 0)) - F.col("_mass"),
-            }
-        )
-        .where((F.col("_before") <= high) & (F.col("_before") + F.col("_mass") > low))
-        .select(*by, "_bin", "_before", "_total")
+
+_LOW, _HIGH = "(total - 1) div 2", "total div 2"
+
+
+def middle_bins(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """The one or two bins per group that hold its middle ranks, with the rows before them."""
+    by = W.partitionBy(*keys, "measure")
+    running = F.sum("n").over(by.orderBy("bin").rowsBetween(W.unboundedPreceding, 0))
+    ranked = counts.where(F.col("bin").isNotNull()).withColumns(
+        {"total": F.sum("n").over(by), "before": running - F.col("n")}
     )
-    in_bin = W.partitionBy(*by, "_bin").orderBy("value").rowsBetween(before, 0)
-    ranked = binned.join(middle_bins, [*by, "_bin"]).withColumn(
-        "_start", F.col("_before") + F.sum("n").over(in_bin) - F.col("n")
+    hit = (F.col("before") <= F.expr(_HIGH)) & (F.col("before") + F.col("n") > F.expr(_LOW))
+    return ranked.where(hit).select(*keys, "measure", "bin", "before", "total")
+
+
+def medians_within(counted: DataFrame, middle: DataFrame, keys: list[str]) -> DataFrame:
+    """``median`` per group from the counted values (keys, measure, bin, value, n) of its middle bins."""
+    by = [*keys, "measure"]
+    in_bin = W.partitionBy(*by, "bin").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    ranked = counted.join(middle, [*by, "bin"]).withColumn(
+        "start", F.col("before") + F.sum("n").over(in_bin) - F.col("n")
     )
 
     def value_at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_start") <= rank) & (F.col("_start") + F.col("n") > rank), F.col("value")))
+        return F.max(F.when((F.col("start") <= rank) & (F.col("start") + F.col("n") > rank), F.col("value")))
+
+    middle_value = (value_at(F.expr(_LOW)) + value_at(F.expr(_HIGH))) / 2
+    return ranked.groupBy(*by).agg(middle_value.alias("median"))
+
 
-    return ranked.groupBy(*by).agg(((value_at(low) + value_at(high)) / 2).alias("median"))
+def count_values(binned: DataFrame, middle: DataFrame, keys: list[str]) -> DataFrame:
+    """How often each value of the middle bins occurs."""
+    on = [*keys, "measure", "bin"]
+    return binned.join(middle.select(*on), on, "left_semi").groupBy(*on, "value").agg(F.count("*").alias("n"))
 
 
 def measures_to_columns(medians: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
@@ -59,12 +66,18 @@ def measures_to_columns(medians: DataFrame, keys: list[str], cols: list[str]) ->
 def exact_medians(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """Exact median of every column per group (one row when ``keys`` is empty).
 
-    NULL values are ignored, and so are groups with a NULL key.
+    ``percentile`` would hold all distinct values of a group in one task. Here a first pass
+    counts rows per bin of close values, which the map side combines to almost nothing; the
+    bin totals tell where the middle ranks lie; a second pass counts and orders only the
+    values of those bins. NULL values are ignored, and so are groups with a NULL key.
     """
     kept = df
     for k in keys:
         kept = kept.where(F.col(k).isNotNull())
-    return measures_to_columns(median_of_counts(value_counts(kept, keys, cols), keys), keys, cols)
+    binned = binned_values(kept, keys, cols)
+    middle = middle_bins(stage(bin_counts(binned, keys), "bin-counts"), keys)
+    medians = medians_within(count_values(binned, middle, keys), middle, keys)
+    return measures_to_columns(medians, keys, cols)
 
 
 def modes(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:

@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.functions.columns import number
-from weekloom.functions.grouped import measures_to_columns, median_of_counts, modes, one_row, value_counts
+from weekloom.functions.grouped import (
+    add_bin,
+    bin_counts,
+    binned_values,
+    count_values,
+    measures_to_columns,
+    medians_within,
+    middle_bins,
+    modes,
+    one_row,
+)
 from weekloom.session import stage
 
 UNKNOWN = "unknown"
@@ -30,28 +40,36 @@ def impute_by_group_median(
     Values that are not positive (with ``allow_zero``: negative) count as missing, before any
     median is taken. The global median is over observed values, or, with
     ``fallback="filled"``, over the column after the group medians were put in; both come from
-    the same counts of distinct values, so ``df`` is read once for all medians. The medians, one
-    row per group, are written out before the join: a table of known size can be broadcast
-    from the start, while an unmeasured one would first cost a shuffle of ``df`` by group.
+    the same bin counts (see exact_medians). The small tables in between are written out: a
+    table of known size can be broadcast, an unmeasured one would first cost a shuffle of
+    ``df``. So ``df`` is read per pass, but never moved for the medians.
     """
     valid = df.withColumns(
         {c: F.when(F.col(c) >= 0 if allow_zero else F.col(c) > 0, F.col(c).cast("double")) for c in cols}
     )
     cols = list(cols)
-    counts = value_counts(valid, [group], cols)
-    by_group = median_of_counts(counts.where(F.col(group).isNotNull()), [group])
-    seen = counts.where(F.col("value").isNotNull()).select("measure", "value", "n")
+    binned = binned_values(valid, [group], cols)
+    counts = stage(bin_counts(binned, [group]), "bin-counts")
+    known = counts.where(F.col(group).isNotNull())
+    middle = middle_bins(known, [group])
+    by_group = stage(medians_within(count_values(binned, middle, [group]), middle, [group]), "group-medians")
+
+    added = None
     if fallback == "filled":
-        missing = counts.where(F.col("value").isNull()).drop("value")
-        put_in = missing.join(by_group, [group, "measure"]).select("measure", F.col("median").alias("value"), "n")
-        seen = seen.unionByName(put_in)
+        missing = known.where(F.col("bin").isNull()).drop("bin")
+        added = missing.join(by_group, [group, "measure"]).select("measure", F.col("median").alias("value"), "n")
+        added = add_bin(added)
+        counts = counts.unionByName(added.drop("value").withColumn(group, F.lit(None).cast(df.schema[group].dataType)))
     elif fallback != "observed":
         raise ValueError(f"unknown fallback: {fallback}")
-    overall = median_of_counts(seen.groupBy("measure", "value").agg(F.sum("n").alias("n")), [])
-    overall = measures_to_columns(overall, [], cols).withColumn(group, F.lit(None).cast(df.schema[group].dataType))
-    medians = stage(measures_to_columns(by_group, [group], cols).unionByName(overall), "medians")
-    overall = one_row(medians.where(F.col(group).isNull()), *cols)
-    medians = medians.select(group, *[F.col(c).alias(f"_median_{c}") for c in cols]).where(F.col(group).isNotNull())
+    middle = stage(middle_bins(counts.groupBy("measure", "bin").agg(F.sum("n").alias("n")), []), "middle-bins")
+    values = count_values(binned, middle, [])
+    if added is not None:
+        values = values.unionByName(added).groupBy("measure", "bin", "value").agg(F.sum("n").alias("n"))
+    overall = stage(measures_to_columns(medians_within(values, middle, []), [], cols), "overall-medians")
+    overall = one_row(overall)
+    medians = measures_to_columns(by_group, [group], cols)
+    medians = medians.select(group, *[F.col(c).alias(f"_median_{c}") for c in cols])
     columns = [c for c in df.columns if c not in cols]
     return valid.join(medians, group, "left").select(
         *columns, *[F.coalesce(F.col(c), F.col(f"_median_{c}"), overall.getField(c)).alias(c) for c in cols]
@@ -108,14 +126,17 @@ def flag_valid_sales(orders: DataFrame, statuses: Sequence[str] = SALES_STATUSES
 
 
 def check_items(items: DataFrame, sellers: DataFrame) -> DataFrame:
-    """Items with all ids; invalid prices NULL; missing freight imputed by seller state."""
+    """Items with all ids; invalid prices NULL; missing freight imputed by seller state.
+
+    The seller's city and state stay on the items, so the fact need not look them up again.
+    """
     typed = items.dropna(subset=["order_id", "product_id", "seller_id"]).withColumns(
         {"price": number("price"), "freight_value": number("freight_value")}
     )
     typed = typed.withColumn("price", F.when(F.col("price") > 0, F.col("price")))
-    states = sellers.select("seller_id", "seller_state")
-    with_state = typed.join(states, "seller_id", "left")
-    return impute_by_group_median(with_state, ["freight_value"], "seller_state", allow_zero=True, fallback="filled")
+    places = sellers.select("seller_id", "seller_city", "seller_state")
+    placed = typed.drop("seller_city", "seller_state").join(places, "seller_id", "left")
+    return impute_by_group_median(placed, ["freight_value"], "seller_state", allow_zero=True, fallback="filled")
 
 
 def clean_items(items: DataFrame, sellers: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -181,14 +202,13 @@ def build_fact(
     """
     order_columns = ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "is_valid_for_sales"]
     seller_columns = ["seller_id", "seller_city", "seller_state"]
-    own = [c for c in items.columns if c not in ("seller_state", "seller_city")]
+    if not set(seller_columns) <= set(items.columns):
+        items = items.drop("seller_city", "seller_state").join(sellers.select(*seller_columns), "seller_id", "left")
     joined = (
-        items.select(*own)
-        .join(orders.select(*order_columns), "order_id", "left")
+        items.join(orders.select(*order_columns), "order_id", "left")
         .join(payments, "order_id", "left")
         .join(reviews, "order_id", "left")
         .join(products.select("product_id", "category", *product_columns), "product_id", "left")
-        .join(sellers.select(*seller_columns), "seller_id", "left")
         .join(customers.select("customer_id", "customer_city", "customer_state"), "customer_id", "left")
     )
     return joined.where(F.coalesce("is_valid_for_sales", F.lit(False))).withColumns(

@@ -155,7 +155,7 @@ class StarTables:
 
     @cached_property
     def geo(self) -> DataFrame:
-        return cleaning.geo_reference(self.geolocation_raw)
+        return stage(cleaning.geo_reference(self.geolocation_raw), "geo")
 
     def clean_customers(self) -> DataFrame:
         return cleaning.fill_from_reference(
@@ -202,17 +202,19 @@ class StarTables:
 
     # -- series ----------------------------------------------------------------------------
 
-    def sales(self, category: str = "p_brand") -> DataFrame:
-        """Order lines of delivered and shipped orders, category taken from the part."""
+    def lines(self) -> DataFrame:
+        """Order lines of delivered and shipped orders, with their order's reviews.
+
+        Both joins are on the order key, so large tables are partitioned once for both.
+        """
         orders = self.table("orders").where("o_orderstatus IN ('F', 'O')").select("o_orderkey", "o_orderdate")
         return (
             self.table("lineitem")
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.reviews, F.col("l_orderkey") == F.col("order_id"), "left")
-            .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
             .select(
                 F.to_date("o_orderdate").alias("order_date"),
-                F.col(category).alias("category"),
+                F.col("l_partkey").alias("product_id"),
                 F.col("l_quantity").alias("units"),
                 F.col("l_extendedprice").alias("revenue_item"),
                 "review_count",
@@ -220,9 +222,15 @@ class StarTables:
             )
         )
 
+    def categories(self, column: str = "p_brand") -> DataFrame:
+        return self.table("part").select(F.col("p_partkey").alias("product_id"), F.col(column).alias("category"))
+
+    def sales(self, column: str = "p_brand") -> DataFrame:
+        return self.lines().join(self.categories(column), "product_id")
+
     @cached_property
     def weekly(self) -> DataFrame:
-        return features.weekly_aggregate(self.sales())
+        return features.weekly_aggregate_by_product(self.lines(), self.categories(), "product_id")
 
     @cached_property
     def series(self) -> DataFrame:
