@@ -117,7 +117,7 @@ def test_budget_choice_against_brute_force(spark, seed, most):
     assert paid == brute_budget(budget_items, 0.3, most)
     region = (F.substring("category", 3, 1).cast("int") % 3).alias("region")
     by = pricing.select_within_budget(
-        acts.select("*", region), revenue.select("*", region), max_actions=3, by=["region"], rounds_per_stage=2
+        acts.select("*", region), revenue.select("*", region), max_actions=3, by=["region"]
     )
     picked = {}
     for r in by.collect():

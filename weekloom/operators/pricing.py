@@ -93,14 +93,15 @@ def select_within_budget(
     max_actions: int = 10,
     by: Sequence[str] = (),
     skip_free: bool = False,
-    rounds_per_stage: int = 10,
 ) -> DataFrame:
     """Greedy choice by margin: take each action that still fits, up to ``max_actions``.
 
     Cost is the size of the change times the category's revenue; the budget is ``share`` of
-    all costs, per ``by`` group if given. Spending only grows, so an action that once did not
-    fit never fits later: every round picks the best affordable action ranked after the last
-    pick. A round is one combinable aggregate; no list of all actions is ever built.
+    all costs, per ``by`` group if given. Spending only grows, so an action that does not fit
+    now never will. A round therefore takes the ``max_actions`` best affordable actions after
+    the last one seen, walks through them in order, and is repeated only while actions may be
+    left; each round picks at least one. No more than ``max_actions`` rows of a group are ever
+    brought together, and the state, one row per group, is written between rounds.
     """
     by = list(by)
     costed = actions.join(base_revenue.select(CATEGORY, *by, "base_revenue"), [CATEGORY, *by], "left").select(
@@ -113,15 +114,6 @@ def select_within_budget(
     costed = stage(costed, "costed-actions")
     group = by or ["_all"]
     items = costed if by else costed.withColumn("_all", F.lit(0))
-    pick_type = "struct<no_margin:boolean,loss:double,category:string,pct:double,cost:double>"
-    state = items.groupBy(*group).agg(F.sum("cost").alias("total")).select(
-        *group,
-        (F.col("total") * share).alias("budget"),
-        F.lit(0.0).alias("spent"),
-        F.array().cast(f"array<{pick_type}>").alias("picks"),
-    )
-    if skip_free:
-        items = items.where(F.col("cost") > 0)
     item = F.struct(
         F.col("best_delta_margin").isNull().alias("no_margin"),
         (-F.col("best_delta_margin")).alias("loss"),
@@ -129,26 +121,45 @@ def select_within_budget(
         F.col("recommended_pct").alias("pct"),
         "cost",
     )
+    kind = "struct<no_margin:boolean,loss:double,category:string,pct:double,cost:double>"
+    state = items.groupBy(*group).agg((F.sum("cost") * share).alias("budget")).select(
+        *group,
+        "budget",
+        F.lit(0.0).alias("spent"),
+        F.array().cast(f"array<{kind}>").alias("picks"),
+        F.lit(None).cast(kind).alias("last"),
+        F.lit(True).alias("open"),
+    )
+    if skip_free:
+        items = items.where(F.col("cost") > 0)
     items = items.select(*group, item.alias("item"))
-    order = ["no_margin", "loss", "category"]
-    for round_no in range(1, max_actions + 1):
-        last = F.try_element_at("picks", F.lit(-1))
-        after = F.struct(*[F.col("item").getField(f) for f in order]) > F.struct(*[last.getField(f) for f in order])
-        fits = F.col("spent") + F.col("item.cost") <= F.col("budget")
-        candidate = F.when(fits & ((F.size("picks") == 0) | after), F.col("item"))
-        state = (
-            state.join(items, group, "left")
-            .groupBy(*group, "budget", "spent", "picks")
-            .agg(F.min(candidate).alias("best"))
-            .select(
-                *group,
-                "budget",
-                (F.col("spent") + F.coalesce(F.col("best.cost"), F.lit(0.0))).alias("spent"),
-                F.when(F.col("best").isNull(), F.col("picks")).otherwise(F.array_append("picks", F.col("best"))).alias("picks"),
-            )
+
+    def take(acc: Column, candidate: Column) -> Column:
+        spent = acc.getField("spent") + candidate.getField("cost")
+        fits = (F.size(acc.getField("picks")) < max_actions) & (spent <= F.col("budget"))
+        taken = F.struct(spent.alias("spent"), F.array_append(acc.getField("picks"), candidate).alias("picks"))
+        return F.when(fits, taken).otherwise(acc)
+
+    for _ in range(max_actions):
+        state = stage(state, "budget-state")
+        if not state.where("open").head(1):
+            break
+        affordable = items.join(state.where("open").select(*group, "budget", "spent", "last"), group).where(
+            (F.col("spent") + F.col("item.cost") <= F.col("budget"))
+            & (F.col("last").isNull() | (F.col("item") > F.col("last")))
+        )
+        best = ranked_within(affordable, group, [F.asc("item")], max_actions)
+        best = best.groupBy(*group).agg(F.sort_array(F.collect_list("item")).alias("best"))
+        walked = state.join(best, group, "left").withColumn("best", F.coalesce("best", F.array().cast(f"array<{kind}>")))
+        walked = walked.withColumn("after", F.aggregate("best", F.struct("spent", "picks"), take))
+        state = walked.select(
+            *group,
+            "budget",
+            F.col("after.spent").alias("spent"),
+            F.col("after.picks").alias("picks"),
+            F.coalesce(F.try_element_at("best", F.lit(-1)), F.col("last")).alias("last"),
+            ((F.size("after.picks") < max_actions) & (F.size("best") == max_actions)).alias("open"),
         )
-        if round_no % rounds_per_stage == 0 and round_no < max_actions:
-            state = stage(state, "budget-state")
     chosen = state.select(*by, F.inline("picks"))
     return chosen.select(
         *by,
