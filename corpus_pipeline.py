@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from weekloom.llm import quality, simhash
+from weekloom.llm import decontaminate, packing, quality, secret_scan, simhash
 from weekloom.session import stage
 
 
@@ -20,9 +21,27 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return simhash.keep_representatives(docs)
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets replaced by the names of their kinds."""
+    return secret_scan.redact(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token ids, packed into sequences."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality classifier", drop_low_quality),
     ("simhash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("secret scans", redact_secrets),
+    ("packing", pack),
 ]
 
 #: Compression, tokenizers and trained models are beyond SQL; tests hold the stages against brute force.

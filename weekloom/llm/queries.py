@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import quality, simhash
+from weekloom.llm import decontaminate, packing, quality, secret_scan, simhash
+from weekloom.llm.common import of_kind, span_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +29,56 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op3_benchmark_decontamination",
+    rf"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+    b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+    b2 AS (SELECT item, w, least(len(w), 10) AS n FROM b WHERE len(w) > 0),
+    g AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+      FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM b2)),
+    p AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS gram
+      FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM g))),
+    h AS (SELECT r, i, p.n, item FROM p JOIN g ON p.gram = g.gram AND p.n = g.n),
+    c AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + n)) FROM (SELECT DISTINCT r, i, n FROM h)) GROUP BY r),
+    t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+      CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)""",
+)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query("op4_packing")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op5_secret_scan")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, folder, "documents"), ["doc_id"])
+    base = F.filter("secrets", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id",
+        *[of_kind(F.col("secrets"), k).alias(f"n_{k}") for k in secret_scan.KINDS],
+        F.sha2(span_text(base), 256).alias("base_sha256"),
+        span_text(F.col("secrets")).alias("spans"),
+    )
+
+
 @query("op8_quality_classifier")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
