@@ -92,11 +92,14 @@ def of_kind(found: Column, kind: str) -> Column:
     return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long")
 
 
-def replace_spans(text: Column, found: Column) -> Column:
-    """``text`` with each span (kind, start, end) replaced by ``[KIND]``; overlapping ones merge, the first names them."""
+def replace_spans(text: Column, found: Column, silent: str = "") -> Column:
+    """``text`` with each span (kind, start, end) replaced by ``[KIND]``, or by nothing if its kind is ``silent``.
+
+    Overlapping spans merge; the first names them.
+    """
 
     def step(acc: Column, s: Column) -> Column:
-        label = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
+        label = F.when(s["kind"] == silent, "").otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
         gap = F.substring(text, acc["pos"] + 1, s["start"] - acc["pos"])
         grown = F.struct(s["end"].alias("pos"), F.concat(acc["out"], F.array(gap, label)).alias("out"))
         inside = F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"), acc["out"].alias("out"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import decontaminate, packing, quality, secret_scan, simhash
+from weekloom.llm import decontaminate, packing, privacy, quality, secret_scan, simhash
 from weekloom.llm.common import of_kind, span_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,18 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op6_information_theoretic_pii")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    found = privacy.find_personal_data(table(spark, folder, "documents"))
+    base = F.filter("found", lambda s: s["kind"].isin(*privacy.FORMATS))
+    return found.select(
+        "doc_id",
+        *[of_kind(F.col("found"), k).alias(f"n_{k}") for k in privacy.FORMATS],
+        F.sha2(span_text(base), 256).alias("base_sha256"),
+        span_text(F.col("found")).alias("spans"),
+    )
+
+
 @query("op8_quality_classifier")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
