@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import decontaminate, packing, privacy, quality, secret_scan, simhash
+from weekloom.llm import decontaminate, packing, privacy, quality, secret_scan, simhash, toxicity
 from weekloom.llm.common import of_kind, span_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op10_toxicity_ftrl")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
