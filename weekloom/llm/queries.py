@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import decontaminate, packing, privacy, quality, secret_scan, simhash, toxicity
+from weekloom.llm import decontaminate, packing, privacy, quality, secret_scan, simhash, toxicity, vector_dedup
 from weekloom.llm.common import of_kind, span_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query(
+    "op2_embedding_near_dedup",
+    """
+    WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL),
+    links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+    reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+    n AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+    c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id""",
+)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
