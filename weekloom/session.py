@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -62,3 +64,16 @@ def fits_broadcast(df: DataFrame) -> bool:
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return int(str(size)) <= limit
+
+
+_SHARED: set[str] = set()
+
+
+def share_code(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application; they may have no copy of it."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHARED:
+        package = os.path.dirname(os.path.abspath(__file__))
+        target = os.path.join(os.path.realpath(tempfile.mkdtemp()), "weekloom")
+        context.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package)))
+        _SHARED.add(context.applicationId)
