@@ -8,16 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from weekloom.llm import decontaminate, packing, quality, secret_scan, simhash
-from weekloom.session import stage
+from weekloom.session import share_code, stage
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
+    share_code(spark)
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    share_code(spark)
     return simhash.keep_representatives(docs)
 
 
@@ -33,6 +35,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids, packed into sequences."""
+    share_code(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

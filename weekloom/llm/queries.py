@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from weekloom.llm import decontaminate, packing, privacy, quality, secret_scan, simhash, toxicity, vector_dedup
 from weekloom.llm.common import of_kind, span_text
+from weekloom.session import share_code
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +27,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    share_code(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
