@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import decontaminate, packing, privacy, quality, secret_scan, simhash, toxicity, vector_dedup
+from weekloom.llm import decontaminate, licences, packing, perspectives, privacy, quality, secret_scan, simhash, toxicity, vector_dedup
 from weekloom.llm.common import of_kind, span_text
 from weekloom.session import share_code
 
@@ -31,6 +31,31 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query(
+    "op1_perspective_rotation",
+    """
+    WITH t AS (SELECT conv_id, turn, floor(turn / 64.0) AS b,
+        replace(replace(coalesce(role, 'unknown'), '<|im_', '<| im_'), chr(10), ' ') AS s,
+        replace(coalesce(text, ''), '<|im_', '<| im_') AS x
+      FROM conversations WHERE conv_id IS NOT NULL),
+    p AS (SELECT DISTINCT conv_id, s AS perspective FROM t WHERE s <> 'system'),
+    h AS (SELECT conv_id, perspective, b, turn, s, x, s = perspective AS own,
+        '<|im_start|>' || CASE WHEN s = perspective THEN 'assistant' WHEN s = 'system' THEN s ELSE 'user name=' || s END || chr(10) AS head
+      FROM t JOIN p USING (conv_id)),
+    g AS (SELECT *, head || x || '<|im_end|>' || chr(10) AS seg FROM h),
+    o AS (SELECT *, sum(length(seg)) OVER (PARTITION BY conv_id, perspective ORDER BY b NULLS FIRST, turn NULLS FIRST, s, x ROWS UNBOUNDED PRECEDING) AS e FROM g),
+    a AS (SELECT conv_id, perspective, b, min(e - length(seg)) AS start, count(*) AS n_turns, string_agg(seg, '' ORDER BY e) AS text,
+        coalesce(string_agg((e - length(seg) + length(head)) || ':' || (e - 1), ',' ORDER BY e) FILTER (own), '') AS masks
+      FROM o GROUP BY conv_id, perspective, b)
+    SELECT conv_id, perspective, row_number() OVER (PARTITION BY conv_id, perspective ORDER BY b NULLS FIRST) - 1 AS part,
+      CAST(start AS BIGINT) AS start, text, n_turns, masks FROM a""",
+)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    found = perspectives.rotate(table(spark, folder, "conversations"))
+    masks = F.array_join(F.transform("masks", lambda m: F.concat_ws(":", m["start"], m["end"])), ",")
+    return found.withColumn("masks", masks)
+
+
 @query(
     "op2_embedding_near_dedup",
     """
@@ -109,6 +134,33 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _licence_sql() -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    known = ", ".join(f"CASE WHEN regexp_matches(n, {quoted(p)}) THEN {quoted(i)} END" for i, p in licences.SENTENCES)
+    steps = "".join(
+        f", q{k + 1} AS (SELECT *, replace(s{k}, {quoted(licences.rule_text(ids))}, '|') AS s{k + 1} FROM q{k})"
+        for k, (_, ids) in enumerate(licences.RULES)
+    )
+    last = len(licences.RULES)
+    hits = ", ".join(f"CASE WHEN s{k} <> s{k + 1} THEN {quoted(name)} END" for k, (name, _) in enumerate(licences.RULES))
+    names = ", ".join(quoted(n) for n in dict.fromkeys(name for name, _ in licences.RULES))
+    return rf"""
+    WITH d AS (SELECT doc_id, list_transform(
+        list_filter(string_split_regex(coalesce(text, ''), {quoted(licences.BREAK)}), lambda s: regexp_matches(s, {quoted(licences.HINT)})),
+        lambda s: trim(regexp_replace(lower(s), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))) AS ns FROM documents),
+    i AS (SELECT doc_id, list_transform(ns, lambda n: list_filter([{known}], lambda v: v IS NOT NULL)) AS ids FROM d),
+    q0 AS (SELECT doc_id, ids, coalesce(array_to_string(list_transform(flatten(ids), lambda v: '[' || v || ']'), ''), '') AS s0 FROM i){steps}
+    SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_sentences, CAST(len(list_filter(ids, lambda v: len(v) = 0)) AS BIGINT) AS n_unknown,
+      coalesce(array_to_string(flatten(ids), ','), '') AS sentence_ids,
+      coalesce(array_to_string(list_filter([{names}], lambda v: list_contains([{hits}], v)), ','), '') AS licences,
+      replace(s{last}, '|', '') AS unmatched FROM q{last}"""
+
+
+@query("op7_licence_sentence_rules", _licence_sql())
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.find_licences(table(spark, folder, "documents"))
+
+
 @query("op8_quality_classifier")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
