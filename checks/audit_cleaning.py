@@ -153,7 +153,7 @@ def _(t):
 
 @query("b7_clean_items_dropped", "SELECT count(*) AS n_dropped FROM items_checked WHERE price IS NULL")
 def _(t):
-    return cleaning.clean_items(t.items_raw, t.sellers)[1]
+    return cleaning.dropped_items(t.items_raw)
 
 
 @query("b8_payments_by_order", "SELECT * FROM payment_totals")
@@ -186,5 +186,4 @@ def _(t):
       (SELECT count(*) FROM sellers_clean WHERE seller_state IS NULL) AS sellers_missing_state_after_fill""",
 )
 def _(t):
-    checked = cleaning.check_items(t.items_raw, t.sellers)
-    return audit.cleaning_log(checked, t.fact_clean, t.products, t.customers, t.sellers)
+    return audit.cleaning_log(cleaning.typed_items(t.items_raw), t.fact_clean, t.products, t.customers, t.sellers)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from checks.registry import CTES, query, r, rounded, rs
-from checks.series import _SMALL, model_table
+from checks.series import loaded, model_table
 from checks.validation import calibrated_forecast, flat_forecast
 from weekloom.operators import features, forecast, model
 from weekloom.session import stage
@@ -106,22 +108,56 @@ def _(t):
     return rounded(rounded(out, 4, "avg_price", "units"), 1, "revenue")
 
 
-@query("f5_recursive_forecast_model")
+# The plan lacks one brand and every second week; those weeks take the recent price.
+_PARTIAL = "(SELECT * FROM plan WHERE category <> 'Brand#7' AND week(order_week) % 2 = 1)"
+
+
+@query(
+    "f5_recursive_forecast_partial_plan",
+    f"""SELECT order_week, s.category, {r('coalesce(planned_price, avg_price_recent)', 4, 'avg_price')}, {r('u1', 4, 'units')},
+      {r('coalesce(planned_price, avg_price_recent) * u1', 1, 'revenue')}
+    FROM flat_steps s JOIN future_weeks USING (step) JOIN recent c ON c.category = s.category
+    LEFT JOIN {_PARTIAL} p USING (order_week, category)""",
+)
 def _(t):
-    fitted = model.train_demand_model(stage(model_table(t, t.series), "model-table"), params=_SMALL)
-    history = features.trim_tail(t.series)
-    return forecast.recursive_forecast(history, forecast.price_plan(history), fitted, holidays=t.holidays)
+    plan = forecast.price_plan(t.series, actions(t)).where((F.col("category") != "Brand#7") & (F.weekofyear("order_week") % 2 == 1))
+    lines = model.fit_linear_by_group(model_table(t, t.series).where("split = 'train'"), "units", "units_roll4")
+    out = forecast.recursive_forecast(t.series, plan, model.LinearPredictor(stage(lines, "lines"), "units_roll4"))
+    return rounded(rounded(out, 4, "avg_price", "units"), 1, "revenue")
 
 
-@query("f5_recursive_forecast_model_with_plan")
+def filled(t):
+    """The series with the review scores filled as in training."""
+    return stage(features.fill_rolling_mean(t.series, "rev_score_avg"), "filled")
+
+
+def consequences(df, *keys):
+    """What SQL can know of a tree forecast: keys, prices, and that units are there and make the revenue."""
+    follows = F.abs(F.col("revenue") - F.col("avg_price") * F.col("units")) <= 1e-6 * (1 + F.abs("revenue"))
+    known = F.col("units").isNotNull() & ~F.isnan("units")
+    return df.select(*keys, F.round("avg_price", 4).alias("avg_price"), known.alias("predicted"), follows.alias("follows"))
+
+
+@query(
+    "f5_recursive_forecast_model",
+    f"SELECT order_week, category, {r('avg_price_recent', 4, 'avg_price')}, true AS predicted, true AS follows FROM recent, future_weeks",
+)
 def _(t):
-    full = features.weekly_features(t.series, t.holidays, include_current=True)
-    table = stage(features.time_split(features.warmup_trim(full)), "model-table")
-    fitted = model.train_demand_model(table, drop_current_revenue=False, params=_SMALL)
+    _, fitted = loaded(t)
+    out = forecast.recursive_forecast(filled(t), None, fitted, holidays=t.holidays)
+    return consequences(out, "order_week", "category")
+
+
+@query(
+    "f5_recursive_forecast_model_with_plan",
+    f"SELECT order_week, category, {r('planned_price', 4, 'avg_price')}, true AS predicted, true AS follows FROM plan",
+)
+def _(t):
+    _, fitted = loaded(t, with_revenue=True)
     policy = forecast.FeaturePolicy(include_current=True, revenue_proxy=True)
-    return forecast.recursive_forecast(
-        t.series, forecast.price_plan(t.series, actions(t)), fitted, policy, holidays=t.holidays
-    )
+    plan = forecast.price_plan(t.series, actions(t))
+    out = forecast.recursive_forecast(filled(t), plan, fitted, policy, holidays=t.holidays)
+    return consequences(out, "order_week", "category")
 
 
 # -- plan impact: units from the per-category line over price ---------------------------------
@@ -185,9 +221,7 @@ CTES["unified"] = """
   FROM (SELECT order_week, category, avg_price, units AS units_base FROM flat_forecast WHERE category <> 'Brand#5')
   FULL JOIN (SELECT order_week, category, units_cal FROM calibrated WHERE category <> 'Brand#3') USING (order_week, category)
   LEFT JOIN (SELECT order_week, category, planned_price FROM plan WHERE category <> 'Brand#7') USING (order_week, category)"""
-CTES["unified_full"] = CTES["unified"].replace(" WHERE category <> 'Brand#5'", "").replace(
-    " WHERE category <> 'Brand#3'", ""
-)
+CTES["unified_full"] = re.sub(r" WHERE category <> 'Brand#\d'", "", CTES["unified"])
 _UNITS, _MONEY = ["units_base", "units_cal"], ["revenue_base_price", "revenue_cal_price"]
 _PRICES = ["avg_price", "planned_price", "price_for_revenue"]
 _UNIFIED = f"SELECT order_week, category, {rs(7, *_PRICES)}, {rs(3, *_UNITS)}, {rs(1, *_MONEY)} FROM unified"
@@ -195,10 +229,11 @@ _UNIFIED = f"SELECT order_week, category, {rs(7, *_PRICES)}, {rs(3, *_UNITS)}, {
 
 def unified(t, partial: bool = False):
     cal = stage(calibrated_forecast(t), "calibrated")
-    plan = forecast.price_plan(t.series, actions(t)).where("category <> 'Brand#7'")
+    plan = forecast.price_plan(t.series, actions(t))
     base, calibrated = cal.select("order_week", "category", "avg_price", "units"), cal.select("order_week", "category", "units_cal")
     if partial:
         base, calibrated = base.where("category <> 'Brand#5'"), calibrated.where("category <> 'Brand#3'")
+        plan = plan.where("category <> 'Brand#7'")
     return stage(forecast.unify_forecasts(base, calibrated, plan), "unified")
 
 
@@ -219,17 +254,17 @@ def _totals(df):
 @query(
     "f8_forecast_rollups",
     f"""SELECT grain, order_week, category, {_TOTALS_ROUNDED} FROM
-      (SELECT 'week_category' AS grain, order_week, category, {_SUMS} FROM unified GROUP BY order_week, category
-       UNION ALL BY NAME SELECT 'week' AS grain, order_week, NULL AS category, {_SUMS} FROM unified GROUP BY order_week
-       UNION ALL BY NAME SELECT 'total' AS grain, NULL AS order_week, NULL AS category, {_SUMS} FROM unified)""",
+      (SELECT 'week_category' AS grain, order_week, category, {_SUMS} FROM unified_full GROUP BY order_week, category
+       UNION ALL BY NAME SELECT 'week' AS grain, order_week, NULL AS category, {_SUMS} FROM unified_full GROUP BY order_week
+       UNION ALL BY NAME SELECT 'total' AS grain, NULL AS order_week, NULL AS category, {_SUMS} FROM unified_full)""",
 )
 def _(t):
-    return _totals(forecast.forecast_rollups(unified(t, partial=True)))
+    return _totals(forecast.forecast_rollups(unified(t)))
 
 
 @query(
     "f8_forecast_summary",
-    f"""WITH s AS (SELECT {_SUMS} FROM unified)
+    f"""WITH s AS (SELECT {_SUMS} FROM unified_full)
     SELECT metric, {r('value', 0)}, {r('delta_vs_base', 0)} FROM (
       SELECT 'units_base' AS metric, units_base AS value, CAST(NULL AS DOUBLE) AS delta_vs_base FROM s
       UNION ALL SELECT 'units_cal', units_cal, units_cal - units_base FROM s
@@ -237,28 +272,41 @@ def _(t):
       UNION ALL SELECT 'revenue_cal', revenue_cal, revenue_cal - revenue_base FROM s)""",
 )
 def _(t):
-    rollups = forecast.forecast_rollups(unified(t, partial=True))
+    rollups = forecast.forecast_rollups(unified(t))
     return rounded(forecast.rollup_grain(rollups, "total"), 0, "value", "delta_vs_base")
 
 
 _NUMERIC = ["price_for_revenue", "units_base", "units_cal", "revenue_base_price", "revenue_cal_price"]
 
 
+# The rollups are those of the sound table; then one brand's rows come twice and another loses its calibrated units.
+CTES["unified_damaged"] = """
+  SELECT * REPLACE (CASE WHEN category <> 'Brand#4' THEN units_cal END AS units_cal) FROM unified_full
+  UNION ALL (SELECT * FROM unified_full WHERE category = 'Brand#9')"""
+
+
+def _rollup_gap(grain: str, column: str, by: str) -> str:
+    sums = f"SELECT {by}, sum({column}) AS v FROM {{}} GROUP BY ALL"
+    return f"""SELECT 'rollup_{grain}' AS "check", CAST(sum(abs(coalesce(a.v, 0) - coalesce(b.v, 0))) >= 1e-6 AS BIGINT) AS violations
+      FROM ({sums.format('unified_full')}) a FULL JOIN ({sums.format('unified_damaged')}) b USING ({by})"""
+
+
 @query(
     "f9_qa_checks",
-    "SELECT 'duplicate_keys' AS \"check\", count(*) - count(DISTINCT (order_week, category)) AS violations FROM unified"
-    + "".join(
-        f" UNION ALL SELECT '{n}', 0"
-        for n in (
-            "missing_columns", "rollup_week_category_units", "rollup_week_category_revenue", "rollup_week_units",
-            "rollup_week_revenue",
-        )
+    "SELECT 'duplicate_keys' AS \"check\", count(*) - count(DISTINCT (order_week, category)) AS violations FROM unified_damaged"
+    " UNION ALL SELECT 'missing_columns', 0 UNION ALL "
+    + " UNION ALL ".join(
+        _rollup_gap(f"{grain}_{name}", column, by)
+        for grain, by in (("week_category", "order_week, category"), ("week", "order_week"))
+        for name, column in (("units", "units_cal"), ("revenue", "revenue_cal_price"))
     )
-    + "".join(f" UNION ALL SELECT 'nulls_{c}', count(*) - count({c}) FROM unified" for c in _NUMERIC),
+    + "".join(f" UNION ALL SELECT 'nulls_{c}', count(*) - count({c}) FROM unified_damaged" for c in _NUMERIC),
 )
 def _(t):
-    table = unified(t, partial=True)
-    return forecast.qa_checks(table, forecast.forecast_rollups(table))
+    sound = unified(t)
+    lost = sound.withColumn("units_cal", F.when(F.col("category") != "Brand#4", F.col("units_cal")))
+    damaged = stage(lost.unionByName(sound.where("category = 'Brand#9'")), "damaged")
+    return forecast.qa_checks(damaged, forecast.forecast_rollups(sound))
 
 
 _KPI = "SELECT category, sum(revenue_cal_price) AS rev_8w, sum(units_cal) AS units_8w FROM unified_full GROUP BY category"

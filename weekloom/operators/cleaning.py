@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.functions.columns import number
+from weekloom.functions.columns import number, present
 from weekloom.functions.grouped import (
     add_bin,
     bin_counts,
@@ -37,17 +37,16 @@ def impute_by_group_median(
 ) -> DataFrame:
     """Replace invalid values by the group's median, else by the global median.
 
-    Values that are not positive (with ``allow_zero``: negative) count as missing, before any
-    median is taken. The global median is over observed values, or, with
+    NaN and values that are not positive (with ``allow_zero``: negative) count as missing, before
+    any median is taken. The global median is over observed values, or, with
     ``fallback="filled"``, over the column after the group medians were put in; both come from
     the same bin counts (see exact_medians). The small tables in between are written out: a
     table of known size can be broadcast, an unmeasured one would first cost a shuffle of
     ``df``. So ``df`` is read per pass, but never moved for the medians.
     """
-    valid = df.withColumns(
-        {c: F.when(F.col(c) >= 0 if allow_zero else F.col(c) > 0, F.col(c).cast("double")) for c in cols}
-    )
     cols = list(cols)
+    values = {c: present(F.col(c).cast("double")) for c in cols}
+    valid = df.withColumns({c: F.when(v >= 0 if allow_zero else v > 0, v) for c, v in values.items()})
     binned = binned_values(valid, [group], cols)
     counts = stage(bin_counts(binned, [group]), "bin-counts")
     known = counts.where(F.col(group).isNotNull())
@@ -125,15 +124,25 @@ def flag_valid_sales(orders: DataFrame, statuses: Sequence[str] = SALES_STATUSES
     return orders.withColumn("is_valid_for_sales", flag)
 
 
+def typed_items(items: DataFrame) -> DataFrame:
+    """Items with all ids; prices and freight as numbers, prices that are not positive NULL."""
+    typed = items.dropna(subset=["order_id", "product_id", "seller_id"]).withColumns(
+        {"price": number("price"), "freight_value": number("freight_value")}
+    )
+    return typed.withColumn("price", F.when(F.col("price") > 0, F.col("price")))
+
+
+def dropped_items(items: DataFrame) -> DataFrame:
+    """One-row count of the items that go for want of a price; one scan, no medians."""
+    return typed_items(items).agg(F.count_if(F.col("price").isNull()).alias("n_dropped"))
+
+
 def check_items(items: DataFrame, sellers: DataFrame) -> DataFrame:
-    """Items with all ids; invalid prices NULL; missing freight imputed by seller state.
+    """Typed items with missing freight imputed by seller state.
 
     The seller's city and state stay on the items, so the fact need not look them up again.
     """
-    typed = items.dropna(subset=["order_id", "product_id", "seller_id"]).withColumns(
-        {"price": number("price"), "freight_value": number("freight_value")}
-    )
-    typed = typed.withColumn("price", F.when(F.col("price") > 0, F.col("price")))
+    typed = typed_items(items)
     places = sellers.select("seller_id", "seller_city", "seller_state")
     placed = typed.drop("seller_city", "seller_state").join(places, "seller_id", "left")
     return impute_by_group_median(placed, ["freight_value"], "seller_state", allow_zero=True, fallback="filled")
@@ -144,12 +153,10 @@ def clean_items(items: DataFrame, sellers: DataFrame) -> tuple[DataFrame, DataFr
 
     Each row is one unit unless the table has a ``units`` column of its own.
     """
-    checked = check_items(items, sellers)
-    dropped = checked.agg(F.count_if(F.col("price").isNull()).alias("n_dropped"))
-    clean = checked.where(F.col("price").isNotNull())
+    clean = check_items(items, sellers).where(F.col("price").isNotNull())
     if "units" not in clean.columns:
         clean = clean.withColumn("units", F.lit(1))
-    return clean, dropped
+    return clean, dropped_items(items)
 
 
 def payments_by_order(payments: DataFrame) -> DataFrame:

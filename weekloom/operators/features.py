@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from weekloom.functions.columns import MONEY, guarded, money_avg, money_sum, period_start, season
-from weekloom.session import fits_broadcast
+from weekloom.functions.columns import guarded, money_avg, money_sum, period_start, present, season
 
 CATEGORY = "category"
 WEEK = "order_week"
@@ -40,7 +39,7 @@ def weekly_aggregate(
         "units",
         "revenue_item",
         F.coalesce("review_count", F.lit(0)).alias("review_count"),
-        "review_score_avg",
+        present("review_score_avg").alias("review_score_avg"),
     )
     weekly = keyed.groupBy(WEEK, CATEGORY).agg(
         F.sum("units").cast("double").alias("units"),
@@ -54,42 +53,6 @@ def weekly_aggregate(
     return weekly
 
 
-def weekly_aggregate_by_product(
-    lines: DataFrame, products: DataFrame, key: str, date: str = "order_date", grain: str = "week"
-) -> DataFrame:
-    """weekly_aggregate of lines whose category stands in ``products`` (columns key, category).
-
-    A small product table is broadcast into the lines. A large one would need the lines
-    shuffled by product, with a best-seller's lines all in one place; so lines are first summed
-    per period and product on the map side, and only those sums meet the products.
-    """
-    if fits_broadcast(products):
-        return weekly_aggregate(lines.join(products, key, "left"), date, grain=grain)
-    sums = (
-        lines.where(F.col(date).isNotNull())
-        .groupBy(period_start(date, grain).alias(WEEK), key)
-        .agg(
-            F.sum("units").alias("units"),
-            F.sum(F.col("revenue_item").cast(MONEY)).alias("revenue"),
-            F.count("revenue_item").alias("rows"),
-            F.sum("review_count").alias("rev_count"),
-            F.sum("review_score_avg").alias("score"),
-            F.count("review_score_avg").alias("scored"),
-        )
-    )
-    return (
-        sums.join(products, key, "left")
-        .groupBy(WEEK, F.coalesce(CATEGORY, F.lit("unknown")).alias(CATEGORY))
-        .agg(
-            F.sum("units").cast("double").alias("units"),
-            F.sum("revenue").cast("double").alias("revenue"),
-            F.try_divide(F.sum("revenue").cast("double"), F.sum("rows")).alias("avg_price"),
-            F.coalesce(F.sum("rev_count"), F.lit(0)).cast("double").alias("rev_count"),
-            F.try_divide(F.sum("score"), F.sum("scored")).alias("rev_score_avg"),
-        )
-    )
-
-
 def densify(weekly: DataFrame) -> DataFrame:
     """Add the missing weeks between a category's first and last week, with zero units.
 

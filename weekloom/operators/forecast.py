@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from weekloom.functions.columns import mean_of, name_key, number, season
 from weekloom.functions.grouped import one_row, ranked_within, top_k
-from weekloom.operators.features import CATEGORY, LAGGED, LAGS, ROLLED, WEEK
+from weekloom.operators.features import CATEGORY, LAGGED, LAGS, ROLLED, WEEK, holiday_flag
 from weekloom.operators.model import ExpressionPredictor, Predictor
 from weekloom.session import stage
 from weekloom.sources.schemas import PRICE_CHANGE_COLUMNS
@@ -188,16 +188,22 @@ def _iterate(state: DataFrame, predictor: Predictor, policy: FeaturePolicy, hori
 
 def recursive_forecast(
     history: DataFrame,
-    plan: DataFrame,
+    plan: DataFrame | None,
     predictor: Predictor,
     policy: FeaturePolicy | None = None,
     horizon: int = HORIZON,
     price_col: str = "planned_price",
     by: Sequence[str] = (),
     holidays: DataFrame | None = None,
+    any_day: bool = False,
 ) -> DataFrame:
     """Predict ``horizon`` weeks, each step feeding its prediction to the next one's lags.
 
+    Every series of the history gets exactly the ``horizon`` weeks after the last one of the whole
+    history. A week's price is the planned one, else the mean of the category's last weeks; so the
+    plan may lack weeks or categories, or be None. With ``by``, each category has the series that
+    its plan rows name. Plan weeks outside the horizon play no part. ``any_day`` as in holiday_flag.
+
     The state is one row per series (category and ``by`` columns of the plan): after one
     shuffle by category the steps move no data, and all scenarios advance together.
     Predictors that are a column expression run all steps in one pass; fitted pipelines run
@@ -205,14 +211,21 @@ def recursive_forecast(
     """
     policy = policy or FeaturePolicy()
     keys = [CATEGORY, *by]
-    weeks = plan.select(WEEK, *keys, F.col(price_col).alias("price"))
+    series = plan.select(*keys).distinct() if by else history.select(CATEGORY).distinct()
+    weeks = series.select(*keys, F.explode(future_weeks(history, horizon)).alias(WEEK))
+    usual = recent_mean(history, ["avg_price"]).withColumnRenamed("avg_price_recent", "price_recent")
+    weeks = weeks.join(usual, CATEGORY, "left")
+    if plan is None:
+        weeks = weeks.withColumn("price", F.col("price_recent"))
+    else:
+        planned = plan.groupBy(WEEK, *keys).agg(F.max(price_col).alias("price_planned"))
+        weeks = weeks.join(planned, [WEEK, *keys], "left").withColumn("price", F.coalesce("price_planned", "price_recent"))
     if holidays is None:
         weeks = weeks.withColumn("holiday", F.lit(0))
     else:
-        marked = holidays.select(F.col("date").alias(WEEK)).distinct().withColumn("holiday", F.lit(1))
-        weeks = weeks.join(marked, WEEK, "left").withColumn("holiday", F.coalesce("holiday", F.lit(0)))
+        weeks = holiday_flag(weeks, holidays, any_day).withColumnRenamed("is_holiday_week", "holiday")
     in_order = F.sort_array(F.collect_list(F.struct(F.col(WEEK).alias("week"), "price", "holiday")))
-    plans = weeks.groupBy(*keys).agg(F.slice(in_order, 1, horizon).alias("plan"))
+    plans = weeks.groupBy(*keys).agg(in_order.alias("plan"))
     state = predictor.attach(series_state(history, max(policy.lags)).join(plans, CATEGORY))
     if isinstance(predictor, ExpressionPredictor):
         state = _fold(state, predictor, policy)

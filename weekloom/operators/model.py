@@ -25,6 +25,7 @@ from weekloom.operators.features import CATEGORY, WEEK
 TARGET = "units"
 NOT_FEATURES = (WEEK, "split", TARGET, CATEGORY)
 SENTINEL = -1.0
+ROWS_PER_PARTITION = 50_000
 
 
 class Predictor(Protocol):
@@ -126,9 +127,13 @@ def train_demand_model(
             subsamplingRate=params.subsampling_rate,
             featureSubsetStrategy=params.feature_subset,
             seed=params.seed,
+            checkpointInterval=10,
+            cacheNodeIds=False,
         ),
     ]
+    # Every level of every tree is a job over these rows, so they lie in as few partitions as their number needs.
     train = table.where(F.col("split") == "train").select(CATEGORY, TARGET, *features)
+    train = train.repartition(1 + sizes.train // ROWS_PER_PARTITION)
     return DemandModel(Pipeline(stages=stages).fit(train), features)
 
 

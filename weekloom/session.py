@@ -59,13 +59,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the planner's size estimate of ``df`` is under the broadcast threshold."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
-
 _SHARED: set[str] = set()
 
 

@@ -23,13 +23,18 @@ TRANSLATION = [
     ("PROMO", "promotions"),
     ("STANDARD", "standard_goods"),
 ]
-# Holidays of the years the tables cover.
+# The days of a year that are holidays.
 HOLIDAY_DAYS = ["01-01", "04-21", "05-01", "09-07", "10-12", "11-02", "11-15", "12-25"]
-HOLIDAY_YEARS = range(1995, 2003)
 
 STATUS = "CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped' ELSE 'processing' END"
 
 
+def literal_table(spark: SparkSession, rows: list[tuple[str, ...]], *names: str) -> DataFrame:
+    """A small table written into the plan: its size is known, so it is broadcast."""
+    values = ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS v({', '.join(names)})")
+
+
 class StarTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -59,9 +64,9 @@ class StarTables:
             "CASE WHEN l_orderkey % 101 <> 0 THEN l_orderkey END AS order_id",
             "l_partkey AS product_id",
             "CASE WHEN l_suppkey % 23 <> 0 THEN l_suppkey END AS seller_id",
-            "CASE WHEN l_orderkey % 7 = 0 THEN NULL WHEN l_orderkey % 11 = 0 THEN -l_extendedprice"
+            "CASE WHEN l_orderkey % 14 = 0 THEN double('NaN') WHEN l_orderkey % 7 = 0 THEN NULL WHEN l_orderkey % 11 = 0 THEN -l_extendedprice"
             " ELSE l_extendedprice END AS price",
-            "CASE WHEN l_orderkey % 13 = 0 THEN NULL WHEN l_orderkey % 17 = 0 THEN -1.0D"
+            "CASE WHEN l_orderkey % 26 = 0 THEN double('NaN') WHEN l_orderkey % 13 = 0 THEN NULL WHEN l_orderkey % 17 = 0 THEN -1.0D"
             " ELSE l_extendedprice * l_tax END AS freight_value",
             "l_quantity AS units",
         )
@@ -71,7 +76,7 @@ class StarTables:
         return self.table("part").selectExpr(
             "p_partkey AS product_id",
             "CASE WHEN p_partkey % 13 <> 0 THEN p_type END AS product_category_name",
-            "CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 7 = 0 THEN -1.0D"
+            "CASE WHEN p_partkey % 10 = 0 THEN double('NaN') WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 7 = 0 THEN -1.0D"
             " ELSE cast(p_size * 10 AS double) END AS product_weight_g",
             "CASE WHEN p_partkey % 6 = 0 THEN 0.0D ELSE cast(p_size + p_partkey % 10 AS double) END AS product_length_cm",
             "CASE WHEN p_partkey % 9 <> 0 THEN p_retailprice END AS product_height_cm",
@@ -80,14 +85,15 @@ class StarTables:
 
     @cached_property
     def translation(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            TRANSLATION, "product_category_name string, product_category_name_english string"
-        )
+        return literal_table(self.spark, TRANSLATION, "product_category_name", "product_category_name_english")
 
     @cached_property
     def holidays(self) -> DataFrame:
-        days = [(f"{year}-{day}",) for year in HOLIDAY_YEARS for day in HOLIDAY_DAYS]
-        return self.spark.createDataFrame(days, "date string").select(F.col("date").cast("date").alias("date"))
+        """The holidays of every year with orders and of the year after, into which forecasts reach."""
+        first, last = F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate")) + 1
+        years = self.table("orders").agg(F.sequence(first, last).alias("years")).select(F.explode("years").alias("year"))
+        day = F.explode(F.array(*[F.lit(d) for d in HOLIDAY_DAYS]))
+        return years.select("year", day.alias("day")).select(F.concat_ws("-", "year", "day").cast("date").alias("date"))
 
     @cached_property
     def payments_raw(self) -> DataFrame:
@@ -95,7 +101,8 @@ class StarTables:
             "l_orderkey AS order_id",
             "CASE l_returnflag WHEN 'R' THEN 'Credit_Card' WHEN 'A' THEN 'boleto' END AS payment_type",
             "CASE WHEN l_linenumber <> 3 THEN l_linenumber END AS payment_installments",
-            "CASE WHEN l_orderkey % 9 <> 0 THEN l_extendedprice * (1 - l_discount) END AS payment_value",
+            "CASE WHEN l_orderkey % 18 = 0 THEN double('NaN')"
+            " WHEN l_orderkey % 9 <> 0 THEN l_extendedprice * (1 - l_discount) END AS payment_value",
         )
 
     @cached_property
@@ -138,8 +145,8 @@ class StarTables:
 
     @cached_property
     def geolocation_raw(self) -> DataFrame:
-        return self.table("customer").where("c_nationkey % 6 <> 0").selectExpr(
-            "cast(c_nationkey AS string) AS geolocation_zip_code_prefix",
+        return self.table("customer").selectExpr(
+            "concat(if(c_nationkey % 6 = 0, 'N', ''), c_nationkey) AS geolocation_zip_code_prefix",
             "c_acctbal AS geolocation_lat",
             "cast(c_custkey % 360 - 180 AS double) AS geolocation_lng",
             "c_mktsegment AS geolocation_city",
@@ -226,11 +233,12 @@ class StarTables:
         return self.table("part").select(F.col("p_partkey").alias("product_id"), F.col(column).alias("category"))
 
     def sales(self, column: str = "p_brand") -> DataFrame:
-        return self.lines().join(self.categories(column), "product_id")
+        """Lines with their category; a small product table is broadcast, skewed products of a large one are split."""
+        return self.lines().join(self.categories(column), "product_id", "left")
 
     @cached_property
     def weekly(self) -> DataFrame:
-        return features.weekly_aggregate_by_product(self.lines(), self.categories(), "product_id")
+        return features.weekly_aggregate(self.sales())
 
     @cached_property
     def series(self) -> DataFrame:
@@ -238,7 +246,7 @@ class StarTables:
         return stage(self.weekly, "weekly")
 
     def sparse(self, weekly: DataFrame) -> DataFrame:
-        """Brand k keeps its first k weeks (k <= 12), so short series occur."""
+        """All series, and for brands k <= 12 one more of their first k weeks, so short series occur."""
         number = F.regexp_extract("category", r"(\d+)", 1).cast("int")
-        indexed = features.week_index(weekly)
-        return indexed.where((number > 12) | (F.col("week_idx") < number)).drop("week_idx")
+        first = features.week_index(weekly).where((number <= 12) & (F.col("week_idx") < number)).drop("week_idx")
+        return weekly.unionByName(first.withColumn("category", F.concat(F.lit("Short#"), number)))

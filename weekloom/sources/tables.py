@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
-from weekloom.functions.columns import parse_date
+from weekloom.functions.columns import parse_date, present
 from weekloom.sources.schemas import schema
 
 
 def read_csv(spark: SparkSession, path: str, name: str, day_first: Sequence[str] = ()) -> DataFrame:
     """Header CSV read with the declared schema, matched by column name.
 
-    Columns are read as text and cast, because files keep their own column order; a value
-    that does not parse becomes NULL. Columns in ``day_first`` use the day-first formats.
+    Columns are read as text and cast, because files keep their own column order; NaN and a value
+    that does not parse become NULL. Columns in ``day_first`` use the day-first formats.
     """
     text = spark.read.option("header", True).option("multiLine", False).option("escape", '"').csv(path)
     present = {c.replace("﻿", "").strip().lower(): c for c in text.columns}
@@ -27,6 +29,8 @@ def read_csv(spark: SparkSession, path: str, name: str, day_first: Sequence[str]
             continue
         raw = F.col(f"`{source}`")
         value = parse_date(raw) if field.name in day_first else raw.try_cast(field.dataType)
+        if isinstance(field.dataType, (DoubleType, FloatType)):
+            value = present(value)
         out.append(value.cast(field.dataType).alias(field.name))
     return text.select(*out)
 
@@ -36,6 +40,22 @@ def read_parquet(spark: SparkSession, path: str, name: str | None = None) -> Dat
     return reader.parquet(path)
 
 
+def first_file(spark: SparkSession, candidates: Sequence[str], name: str, optional: bool = False) -> DataFrame | None:
+    """The first of the paths that exists, read by its ending: CSV or else Parquet.
+
+    Existence is asked of Spark's own reader, so paths in any store will do.
+    """
+    for path in candidates:
+        try:
+            return read_csv(spark, path, name) if path.endswith(".csv") else read_parquet(spark, path, name)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    if optional:
+        return None
+    raise LookupError(f"none of these files exist: {list(candidates)}")
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     writer = df.write.mode("overwrite")
     if partition_by:
