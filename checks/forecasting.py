@@ -114,10 +114,10 @@ _PARTIAL = "(SELECT * FROM plan WHERE category <> 'Brand#7' AND week(order_week)
 
 @query(
     "f5_recursive_forecast_partial_plan",
-    f"""SELECT order_week, s.category, {r('coalesce(planned_price, avg_price_recent)', 4, 'avg_price')}, {r('u1', 4, 'units')},
+    f"""SELECT future_weeks.order_week, s.category, {r('coalesce(planned_price, avg_price_recent)', 4, 'avg_price')}, {r('u1', 4, 'units')},
       {r('coalesce(planned_price, avg_price_recent) * u1', 1, 'revenue')}
     FROM flat_steps s JOIN future_weeks USING (step) JOIN recent c ON c.category = s.category
-    LEFT JOIN {_PARTIAL} p USING (order_week, category)""",
+    LEFT JOIN {_PARTIAL} p ON p.order_week = future_weeks.order_week AND p.category = s.category""",
 )
 def _(t):
     plan = forecast.price_plan(t.series, actions(t)).where((F.col("category") != "Brand#7") & (F.weekofyear("order_week") % 2 == 1))

@@ -1,6 +1,6 @@
 """Spark results against the SQL of each query, on the smallest tables.
 
-All queries run with WEEKLOOM_ALL=1; by default the slower ones are left to `checks.run`.
+The queries that train trees at their full settings take minutes; they run with WEEKLOOM_ALL=1.
 """
 
 import os
@@ -8,21 +8,17 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from checks.registry import QUERIES, SQL, full_sql
 from checks.run import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
-QUICK = [
-    "a1_missingness_report", "a3_status_counts", "a4_dataset_overview", "b1_translate_category",
-    "b2_impute_by_group_median", "b3_geo_reference", "b4_fill_from_reference", "b5_delivery_duration",
-    "b8_payments_by_order", "b9_reviews_by_order", "b10_build_fact", "c1_weekly_aggregate", "c2_fill_rolling_mean",
-    "c4_holiday_flag_any_day", "c5_add_lags", "c6_rolling_means_no_leak", "c7_warmup_trim_adaptive",
-    "c8_time_split_ratio", "c10_trim_tail", "d3_score_linear", "e1_overall_metrics", "e3_metrics_by_category",
-    "e7_calibration_short_series", "e8_validation_actions", "f3_price_plan", "f5_recursive_forecast_rolling_mean",
-    "f8_forecast_rollups", "f9_qa_checks", "g2_recommend_actions", "g3_select_within_budget", "g5_scenario_deltas",
-    "g8_recommend_prices", "h2_validation_overlay", "h7_category_brief",
-]
-NAMES = sorted(SQL) if os.environ.get("WEEKLOOM_ALL") else QUICK
+TREES = {
+    "d1_train_demand_model", "d1_train_demand_model_with_revenue", "d2_score", "d4_save_load_model", "f5_recursive_forecast_model",
+    "f5_recursive_forecast_model_with_plan", "g1_what_if_model", "g4_run_scenarios_model",
+}
+NAMES = sorted(set(SQL) if os.environ.get("WEEKLOOM_ALL") else set(SQL) - TREES)
+# No move is safe, or none loses profit, on tables this small; at the larger sizes there are some.
+MAY_BE_EMPTY = {"g10_profit_guardrails_safe", "g10_safe_moves", "g10_biggest_risks", "h7_category_brief", "h7_category_brief_series", "h6_risk_bars"}
 
 
 @pytest.fixture(scope="module")
@@ -32,8 +28,8 @@ def con():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_matches_sql(spark, con, name):
-    problem = difference(spark, con, FOLDER, QUERIES[name], SQL[name])
-    assert problem is None or problem == "no rows"
+    problem = difference(spark, con, FOLDER, QUERIES[name], full_sql(SQL[name]))
+    assert problem is None or (problem == "no rows" and name in MAY_BE_EMPTY)
 
 
 def test_entry_runs(spark):
@@ -41,5 +37,5 @@ def test_entry_runs(spark):
     assert df.count() > 0 and "units_lag52" in df.columns
 
 
-def test_queries_without_sql_are_the_model_ones():
-    assert all("model" in n or n in ("d2_score",) for n in set(QUERIES) - set(SQL))
+def test_every_query_has_its_sql():
+    assert set(QUERIES) == set(SQL)

@@ -47,6 +47,16 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+_STAGED: dict[str, list[str]] = {}
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Remove the tables this application has staged; frames that read them are dead from then on."""
+    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -56,6 +66,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

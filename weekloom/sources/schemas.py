@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import StructType
 
+# Names and types of the columns of each table.
 _DDL = {
     "orders": "order_id string, customer_id string, order_status string, order_purchase_timestamp timestamp,"
     " order_approved_at timestamp, order_delivered_carrier_date timestamp,"
@@ -76,7 +77,7 @@ RECOMMENDATION_ALIASES = {
     "price_best": ["price_best", "price_rec", "price_recommended", "price_s", "price_new"],
     "units_best": ["units_best", "units_rec", "units_recommended", "units_s"],
 }
-REVIEW_ALIASES = {"review_score_avg": ["review_score_avg", "review_score"]}
+# Names of the column that holds a price change.
 PRICE_CHANGE_COLUMNS = ["recommended_pct", "recommended_price_change", "percent_price_change"]
 
 

@@ -20,10 +20,10 @@ def read_csv(spark: SparkSession, path: str, name: str, day_first: Sequence[str]
     that does not parse become NULL. Columns in ``day_first`` use the day-first formats.
     """
     text = spark.read.option("header", True).option("multiLine", False).option("escape", '"').csv(path)
-    present = {c.replace("﻿", "").strip().lower(): c for c in text.columns}
+    sources = {c.replace("﻿", "").strip().lower(): c for c in text.columns}
     out = []
     for field in schema(name).fields:
-        source = present.get(field.name)
+        source = sources.get(field.name)
         if source is None:
             out.append(F.lit(None).cast(field.dataType).alias(field.name))
             continue
