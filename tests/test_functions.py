@@ -105,3 +105,19 @@ def test_clean_predictions(spark, rows):
     assert got == [{"order_week": date(2018, 2, 5), "category": "a", "y": 3.0, "yhat": 2.5}]
     with pytest.raises(ValueError):
         tables.clean_predictions(df.drop("pred_units"))
+
+
+def test_medians_of_many_values_in_one_bin(spark):
+    # all values lie within a thousandth, so in one or two bins; the ordered part stays small
+    from weekloom.functions.grouped import bin_counts, binned_values, count_values, exact_medians, middle_bins
+
+    df = spark.range(40_001).select((F.col("id") % 2).alias("g"), (F.lit(1000.0) + F.col("id") * 1e-5).alias("v"))
+    got = {r.g: r.v for r in exact_medians(df, ["g"], ["v"]).collect()}
+    assert got[0] == pytest.approx(1000.2, abs=1e-9) and got[1] == pytest.approx(1000.2, abs=1e-9)
+    binned = binned_values(df, ["g"], ["v"])
+    counted = count_values(binned, middle_bins(bin_counts(binned, ["g"]), ["g"]), ["g"])
+    part = F.floor((F.asinh("value") * 1000 - F.col("bin")) * 4096)
+    largest = counted.groupBy("g", "bin", part).count().agg(F.max("count")).head()[0]
+    assert counted.groupBy("g", "bin").count().agg(F.max("count")).head()[0] > 4000 and largest < 20
+    alone = exact_medians(df, [], ["v"]).head()
+    assert alone.v == pytest.approx(1000.2, abs=1e-9)

@@ -39,12 +39,30 @@ def middle_bins(counts: DataFrame, keys: list[str]) -> DataFrame:
     return ranked.where(hit).select(*keys, "measure", "bin", "before", "total")
 
 
+#: Parts into which a middle bin is split before its values are ordered.
+PARTS = 4096
+
+
 def medians_within(counted: DataFrame, middle: DataFrame, keys: list[str]) -> DataFrame:
-    """``median`` per group from the counted values (keys, measure, bin, value, n) of its middle bins."""
+    """``median`` per group from the counted values (keys, measure, bin, value, n) of its middle bins.
+
+    A continuous column may have very many values in one bin. So the bin is counted again in
+    ``PARTS`` parts, and only the one or two parts with the middle ranks are ordered: a task never
+    sorts more than the parts of a bin or the values of a part. The counted values are written
+    out first, so both steps rest on one scan of the data.
+    """
     by = [*keys, "measure"]
-    in_bin = W.partitionBy(*by, "bin").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    ranked = counted.join(middle, [*by, "bin"]).withColumn(
-        "start", F.col("before") + F.sum("n").over(in_bin) - F.col("n")
+    counted = stage(counted, "middle-values")
+    part = F.floor((F.asinh("value") * 1000 - F.col("bin")) * PARTS)
+    placed = counted.withColumn("part", part).join(middle, [*by, "bin"])
+    parts = placed.groupBy(*by, "bin", "part", "total").agg(F.sum("n").alias("n"), F.min("before").alias("before"))
+    in_bin = W.partitionBy(*by, "bin").orderBy("part").rowsBetween(W.unboundedPreceding, 0)
+    start = F.col("before") + F.sum("n").over(in_bin) - F.col("n")
+    hit = (F.col("start") <= F.expr(_HIGH)) & (F.col("start") + F.col("n") > F.expr(_LOW))
+    chosen = parts.withColumn("start", start).where(hit).select(*by, "bin", "part", F.col("start").alias("before"))
+    in_part = W.partitionBy(*by, "bin", "part").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    ranked = placed.drop("before").join(chosen, [*by, "bin", "part"]).withColumn(
+        "start", F.col("before") + F.sum("n").over(in_part) - F.col("n")
     )
 
     def value_at(rank: Column) -> Column:
