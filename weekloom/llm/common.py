@@ -114,6 +114,24 @@ def replace_spans(text: Column, found: Column, silent: str = "") -> Column:
     return F.when(F.size(found) > 0, rebuilt).otherwise(text)
 
 
+def blank_spans(text: Column, found: Column) -> Column:
+    """``text`` with every character of the spans (start, end) replaced by a blank."""
+
+    def step(acc: Column, s: Column) -> Column:
+        begin = F.greatest(s["start"], acc["pos"])
+        gap = F.substring(text, acc["pos"] + 1, begin - acc["pos"])
+        grown = F.struct(s["end"].alias("pos"), F.concat(acc["out"], F.array(gap, F.repeat(F.lit(" "), s["end"] - begin))).alias("out"))
+        return F.when(s["end"] > acc["pos"], grown).otherwise(acc)
+
+    zero = F.expr("named_struct('pos', 0, 'out', cast(array() as array<string>))")
+    ordered = F.sort_array(F.transform(found, lambda s: F.struct(s["start"], s["end"])))
+    rebuilt = let(
+        F.aggregate(ordered, zero, step),
+        lambda r: F.concat(F.array_join(r["out"], ""), F.substring(text, r["pos"] + 1, F.length(text))),
+    )
+    return F.when(F.size(found) > 0, rebuilt).otherwise(text)
+
+
 def word_blocks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
     """Words between ASCII white space, in blocks of about ``size`` bytes, so long texts need little memory."""
     start = 0

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import ascii_lower, let, replace_spans, spans
+from weekloom.llm.common import ascii_lower, blank_spans, let, replace_spans, spans
 from weekloom.session import stage
 
 # The formats. Possessive loops and the look-behinds change no match; they keep long runs linear.
@@ -79,7 +79,7 @@ def _entity(m: Column) -> Column:
 
 
 def contexts(text: Column, found: Column) -> Column:
-    """(entity, term, start, end) of the whole words beside each mention that belong to no mention."""
+    """(entity, term, start, end) of the whole words beside each mention; ``text`` has its mentions blanked."""
 
     def beside(m: Column) -> Column:
         entity = _entity(m)
@@ -97,22 +97,36 @@ def contexts(text: Column, found: Column) -> Column:
 
         return F.concat(F.transform(left, lambda s: row(s, first)), F.transform(right, lambda s: row(s, m["end"])))
 
-    near = F.flatten(F.transform(found, beside))
-    return F.filter(near, lambda c: ~F.exists(found, lambda m: (m["start"] < c["end"]) & (c["start"] < m["end"])))
+    return F.flatten(F.transform(found, beside))
 
 
 def read_mentions(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, mentions, contexts) per row of ``docs``, staged: the one full scan for formats."""
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", F.xxhash64(text).alias("text_key"), let(text, lambda t: let(mentions(t), lambda m: F.struct(m.alias("mentions"), contexts(t, m).alias("contexts")))).alias("r"))
+    rows = docs.select("doc_id", F.xxhash64(text).alias("text_key"), let(text, lambda t: let(mentions(t), lambda m: F.struct(m.alias("mentions"), let(blank_spans(t, m), lambda b: contexts(b, m)).alias("contexts")))).alias("r"))
     return stage(rows.select("doc_id", "text_key", "r.mentions", "r.contexts"), "mentions")
 
 
 def disclosures(docs: DataFrame, read: DataFrame) -> DataFrame:
-    """(term, entity, share) of the terms that disclose an entity: share is PMI(t; e) / IC(e)."""
-    near = read.select("text_key", F.explode("contexts").alias("c")).select("text_key", "c.entity", "c.term")
-    pairs = near.distinct().groupBy("term", "entity").agg(F.count("*").alias("both")).where(F.col("both") >= SUPPORT)
-    pairs = stage(pairs, "term-pairs")
+    """(term, entity, share) of the terms that disclose an entity: share is PMI(t; e) / IC(e).
+
+    A term stands in at least as many texts as it stands near any entity; where even that number
+    makes the share too small, the term's own count isn't needed. So common words are not counted.
+    """
+    near = read.select("text_key", F.explode("contexts").alias("c")).select("text_key", "c.entity", "c.term").distinct()
+    pairs = near.groupBy("term", "entity").agg(F.count("*").alias("both")).where(F.col("both") >= SUPPORT)
+    beside = near.select("text_key", "term").distinct().groupBy("term").agg(F.count("*").alias("beside"))
+    named = read.select("text_key", F.explode("mentions").alias("m")).select("text_key", _entity(F.col("m")).alias("entity"))
+    with_entity = named.distinct().groupBy("entity").agg(F.count("*").alias("with_entity"))
+    total = read.select("text_key").distinct().agg(F.count("*").cast("double").alias("n")).scalar()
+    known = F.log2(total / F.col("with_entity"))
+
+    def share(with_term: str) -> Column:
+        told = F.log2(total * F.col("both") / (F.col(with_term) * F.col("with_entity")))
+        return F.when(known > 0, told / known)
+
+    pairs = pairs.join(beside, "term").join(with_entity, "entity").where(share("beside") >= GENERALISE)
+    pairs = stage(pairs.select("term", "entity", "both", "with_entity"), "term-pairs")
     terms = pairs.select("term").distinct()
     if terms.count() <= BROADCAST_TERMS:
         terms = F.broadcast(terms)
@@ -122,13 +136,7 @@ def disclosures(docs: DataFrame, read: DataFrame) -> DataFrame:
         F.explode(F.array_distinct(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(WORD), F.lit(0)))).alias("term"),
     )
     with_term = spoken.join(terms, "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("with_term"))
-    named = read.select("text_key", F.explode("mentions").alias("m")).select("text_key", _entity(F.col("m")).alias("entity"))
-    with_entity = named.distinct().groupBy("entity").agg(F.count("*").alias("with_entity"))
-    total = read.select("text_key").distinct().agg(F.count("*").cast("double").alias("n")).scalar()
-    known = F.log2(total / F.col("with_entity"))
-    told = F.log2(total * F.col("both") / (F.col("with_term") * F.col("with_entity")))
-    share = F.when(known > 0, told / known)
-    joined = pairs.join(with_term, "term").join(with_entity, "entity").select("term", "entity", share.alias("share"))
+    joined = pairs.join(with_term, "term").select("term", "entity", share("with_term").alias("share"))
     return joined.where(F.col("share") >= GENERALISE)
 
 
