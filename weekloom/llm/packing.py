@@ -11,6 +11,7 @@ them. Only what no sequence has room for is cut.
 from __future__ import annotations
 
 import string
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +27,13 @@ CAPACITY, END = 4096, 2
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 GROUP_TOKENS = 1024 * CAPACITY
 #: Words whose ids a worker remembers; about 200 bytes each.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 _PUNCTUATION = string.punctuation.encode()
 _encoders: dict[str, Encoder] = {}
+#: Byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for code points from 256 on.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_OTHERS = [b for b in range(256) if b not in _PRINTABLE]
+_BYTE_LEVEL = {b: 256 + i for i, b in enumerate(_OTHERS)}
 
 
 class Encoder:
@@ -45,27 +50,37 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
 
+    def _letters(self, part: bytes) -> bytes | None:
+        """Ids of lower-cased Latin letters; they have one normal form, so the model can be asked directly."""
+        if part.isalpha():
+            data = part.decode()
+        else:
+            data = part.decode()
+            if not data.isalpha() or max(data) >= "\u0250" or "\u0130" in data:
+                return None
+            data = data.lower().encode().decode("latin-1").translate(_BYTE_LEVEL)
+        ids = [t.id for t in self.tokenizer.model.tokenize(data)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _learn(self, words: list[bytes]) -> None:
-        split, new, plain = [], [], set()
+        known, letters = self.known, self._letters
+        later, ends = [], []
         for word in words:
             head = word.rstrip(_PUNCTUATION)
-            parts = (head, word[len(head) :]) if len(head) < len(word) and head.decode().isalpha() else (word,)
-            if len(parts) > 1:
-                split.append((word, parts))
-            for part in parts:
-                if part in self.known or part in plain:
-                    continue
-                plain.add(part)
-                if part.isalpha():  # ASCII letters only: nothing to normalise
-                    ids = [t.id for t in self.tokenizer.model.tokenize(part.decode())]
-                    self.known[part] = np.array(ids, "<u4").tobytes()
-                else:
-                    new.append(part)
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        for part, e in zip(new, encoded):
-            self.known[part] = np.array(e.ids, "<u4").tobytes()
-        for word, parts in split:
-            self.known[word] = b"".join(self.known[p] for p in parts)
+            ids = known.get(head) or (letters(head) if head else None)
+            if ids is None:
+                later.append(word)
+            elif len(head) == len(word):
+                known[word] = ids
+            else:
+                known[head] = ids
+                ends.append((word, ids, word[len(head) :]))
+        later += {end for _, _, end in ends if end not in known}
+        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in later], add_special_tokens=False)
+        for word, e in zip(later, encoded):
+            known[word] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        for word, ids, end in ends:
+            known[word] = ids + known[end]
 
     def ids(self, text: bytes) -> bytes:
         out = []
