@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from weekloom.functions.columns import guarded, scenario_key
+from weekloom.functions.columns import guarded, money_sum, scenario_key
 from weekloom.functions.grouped import ranked_within, top_k
 from weekloom.operators.features import CATEGORY, WEEK
 from weekloom.operators.forecast import (
@@ -122,7 +122,7 @@ def select_within_budget(
         "cost",
     )
     kind = "struct<no_margin:boolean,loss:double,category:string,pct:double,cost:double>"
-    state = items.groupBy(*group).agg((F.sum("cost") * share).alias("budget")).select(
+    state = items.groupBy(*group).agg((money_sum("cost") * share).alias("budget")).select(
         *group,
         "budget",
         F.lit(0.0).alias("spent"),
