@@ -161,6 +161,18 @@ def test_packing_of_odd_rows(odd):
     assert packing.pack(odd.limit(0), VOCABULARY).count() == 0
 
 
+def test_words_seen_before_meet_punctuation_behind_them():
+    heads = ["\u2014", "\u2019", "100\u20ac", "\u2026", "\u00bb", "\U0001f600", "\u0915\u0940", "a\x7f", "x\u0130", "3", "\u00e9t\u00e9", "don't", "e\u0301", "<|endoftext|>", "\u212a", "\u03a3"]
+    ends = ["", ",", "!", "'", ").", "...", "|>"]
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    tokenizer.encode_special_tokens = True
+    encode = packing.Encoder(VOCABULARY)
+    for end in ends:
+        for head in heads:
+            ids = tokenizer.encode(head + end, add_special_tokens=False).ids
+            assert encode.ids((head + end).encode()) == np.array(ids, "<u4").tobytes(), (head, end)
+
+
 def test_groups_are_balanced_by_cost():
     rng = np.random.default_rng(3)
     lengths = [int(n) for n in np.minimum(rng.lognormal(6, 1, 3000), 30_000) + 1]

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import string
 import struct
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,12 +37,20 @@ _OTHERS = [b for b in range(256) if b not in _PRINTABLE]
 _BYTE_LEVEL = {b: 256 + i for i, b in enumerate(_OTHERS)}
 
 
+def _closed(head: bytes) -> bool:
+    """Whether no token spans the border of ``head`` and punctuation behind it: it ends, as normalised, in a letter or number."""
+    if head[-1] < 0x80:
+        return head[-1:].isalnum()
+    last = unicodedata.normalize("NFC", head.decode()).lower()[-1]
+    return unicodedata.ucd_3_2_0.category(last)[0] in "LN"
+
+
 class Encoder:
     """Token ids of whole texts, as little-endian unsigned 32-bit numbers.
 
     The tokenizer lower-cases and never joins tokens over white space, nor over the border of
     letters and other signs; so the ids of a text are those of its lower-cased words, one after the
-    other, and of a word those of its letters and its closing punctuation. Words are looked up, and
+    other, and of a word that has a letter or number before its closing punctuation, those of both parts. Words are looked up, and
     only new ones are tokenized.
     """
 
@@ -67,10 +76,11 @@ class Encoder:
         later, ends = [], []
         for word in words:
             head = word.rstrip(_PUNCTUATION)
-            ids = known.get(head) or (letters(head) if head else None)
+            whole = len(head) == len(word)
+            ids = known.get(head) or letters(head) if head and (whole or _closed(head)) else None
             if ids is None:
                 later.append(word)
-            elif len(head) == len(word):
+            elif whole:
                 known[word] = ids
             else:
                 known[head] = ids
