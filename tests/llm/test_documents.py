@@ -84,6 +84,15 @@ def test_near_duplicates_of_odd_rows(odd):
     assert simhash.near_duplicates(odd.limit(0)).count() == 0 and simhash.keep_representatives(odd.limit(0)).count() == 0
 
 
+def test_representatives_of_rows_with_null_or_equal_ids(spark):
+    texts = ["one lonely text about ships and the sea", "quite another text on bread and butter", "the third speaks of mountains in the snow", "a fourth about trains that never arrive", "and the fifth is on music for two hands"]
+    ids = [None, None, 7, 7, 9]
+    rows = [*zip(ids, texts), (None, texts[4]), (None, texts[0]), (8, texts[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"]) for r in rows_of(simhash.keep_representatives(docs))]
+    assert sorted(kept, key=str) == sorted(zip(ids, texts), key=str)
+
+
 # -- decontamination ---------------------------------------------------------------------------
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

@@ -88,13 +88,12 @@ def linked_fingerprints(fps: DataFrame) -> DataFrame:
     return near.select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, text_key, fp, component_id) per row of ``docs``.
+def classed(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, text_key, fp, component, component_id) per row of ``docs``.
 
-    ``component_id`` is the smallest doc_id reachable over links, itself included. Rows with the
-    same fingerprint are one node, so a group of copies costs one row however large it is. A null
-    doc_id takes part, but only names a component in which all ids are null. Repeated rows and
-    ties share a component. Other columns are ignored; an empty table gives no rows.
+    ``component`` is the least fingerprint reachable over links, itself included, and never null;
+    ``component_id`` is the smallest doc_id in it. Rows with the same fingerprint are one node, so a
+    group of copies costs one row however large it is.
     """
     rows = stage(fingerprints(docs, shingle), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("node"))
@@ -103,18 +102,30 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         nodes["fp"], nodes["node"].alias("first"), F.coalesce("component", nodes["fp"]).alias("component")
     )
     smallest = members.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = stage(members.join(smallest, "component").select("fp", "component_id"), "classes")
-    return rows.join(named, "fp").select("doc_id", "text_key", "fp", "component_id")
+    named = stage(members.join(smallest, "component").select("fp", "component", "component_id"), "classes")
+    return rows.join(named, "fp").select("doc_id", "text_key", "fp", "component", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, text_key, fp, component_id) per row of ``docs``.
+
+    ``component_id`` is the smallest doc_id reachable over links, itself included. A null doc_id takes
+    part, but only names a component in which all ids are null. Repeated rows and ties share a
+    component. Other columns are ignored; an empty table gives no rows.
+    """
+    return classed(docs, shingle).drop("component")
 
 
 def keep_representatives(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with all their columns, one for each group of near-duplicates.
 
-    The row with the smallest doc_id stays (of several with that id, the one with the smallest hash
-    of its text; of repeated rows, one).
+    The row with the smallest doc_id stays, one without an id only where all lack it (of several with
+    that id, the one with the smallest hash of its text; of repeated rows, one). Rows of different
+    groups never stand for each other, also if their ids are null or equal.
     """
-    found = stage(near_duplicates(docs), "near-duplicates")
-    first = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    found = stage(classed(docs).select("doc_id", "text_key", "component"), "near-duplicates")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
+    first = found.groupBy("component").agg(F.min(order).alias("first"))
     kept = first.select(F.col("first.doc_id").alias("doc_id"), F.col("first.text_key").alias("text_key"))
     packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("d"), F.xxhash64("text").alias("t"))
     out = packed.join(kept, packed["d"].eqNullSafe(kept["doc_id"]) & (packed["t"] == kept["text_key"]), "left_semi")
