@@ -32,6 +32,27 @@ def test_matches_sql(spark, con, name):
     assert problem is None or (problem == "no rows" and name in MAY_BE_EMPTY)
 
 
+def test_scores_are_looked_at(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from checks import series
+
+    class Fixed:
+        def __init__(self, value):
+            self.value = value
+
+        def attach(self, df):
+            return df
+
+        def predict(self, df):
+            return df.withColumn("prediction", F.lit(self.value))
+
+    for value, expected in ((1.5, True), (float("nan"), False), (float("-inf"), False)):
+        monkeypatch.setattr(series, "loaded", lambda t, v=value: (series.model_table(t), Fixed(v)))
+        found = QUERIES["d2_score"](spark, FOLDER).select("predicted").distinct().collect()
+        assert [r["predicted"] for r in found] == [expected]
+
+
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "units_lag52" in df.columns
