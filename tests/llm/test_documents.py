@@ -313,6 +313,14 @@ def test_licence_rules_take_longest_sequences_first(spark):
     assert licences.find_licences(docs.limit(0)).count() == 0
 
 
+def test_every_known_sentence_passes_the_hint(spark):
+    plain = [(name, b.replace("^", "").replace(".*", "").replace(" ?", " ").replace("{4}", "000")) for name, p in licences.SENTENCES for b in licences.branches(p)]
+    texts = [(name, t.replace(" ", gap)) for name, t in plain for gap in (" ", "\n", " -- ")] + [("CC0ref", "Released under CC0 1.0 Universal."), ("BSDendorse", "May be used to endorse or promote products derived from this software.")]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    found = {r["doc_id"]: r["sentence_ids"].split(",") for r in rows_of(licences.find_licences(docs))}
+    assert [(n, t) for i, (n, t) in enumerate(texts) if n not in found[i]] == []
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_queries_equal_their_sql(spark, name):
     from checks.run import connect, difference

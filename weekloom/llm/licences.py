@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Documents and sentences without any of these say nothing about a licence.
-HINT = r"(?i)licen[cs]e|copyright|rights reserved|permission|redistribut|warrant|public domain"
 #: A sentence ends at a full stop before white space, at the end, or at an empty line.
 BREAK = r"[.!?]+(?:[\x20\x09-\x0D]+|$)|\n[\x20\x09-\x0D]*\n"
 
@@ -43,6 +43,31 @@ SENTENCES = (
     ("AllRights", r"all rights reserved"),
     ("CopyrightLine", r"(?:^| )copyright (?:c )?[0-9]{4}"),
 )
+#: What normalisation makes a blank of.
+GAP = r"[^\p{L}\p{N}]+"
+_HINTS = ("licen[cs]e", "copyright", "rights reserved", "permission", "redistribut", "warrant", "public domain")
+
+
+def branches(pattern: str) -> list[str]:
+    """The alternatives of a pattern of ``SENTENCES`` without its groups, each set of characters as the first of them."""
+    pattern = re.sub(r"\[(.)[^]]*\]", r"\1", pattern)
+    group = re.search(r"\(\?:([^()]*)\)(\?)?", pattern)
+    if not group:
+        return [pattern]
+    options = group[1].split("|") + ([""] if group[2] else [])
+    return [b for o in options for b in branches(pattern[: group.start()] + o + pattern[group.end() :])]
+
+
+def _hint() -> str:
+    """The usual words, and every alternative of a known sentence that has none of them; so each known sentence has a hint."""
+    usual = "|".join(_HINTS)
+    others = [b for _, pattern in SENTENCES for b in branches(pattern) if not re.search(usual, b)]
+    return "(?i)" + "|".join(h.replace(" ", GAP) for h in (*_HINTS, *others))
+
+
+#: Documents and sentences without any of these say nothing about a licence.
+HINT = _hint()
+
 # Licence, and the sequence of identifiers it takes; the first rule that matches takes its sentences.
 RULES = (
     ("MIT", ("MITgrant", "MITnotice", "MITasis", "MITliable")),
