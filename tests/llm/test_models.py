@@ -49,6 +49,12 @@ def test_scores_without_labels_or_with_one_class(spark, odd):
     assert quality.keep_good(odd, none).columns == odd.columns
 
 
+def test_all_rows_stay_where_nothing_was_learnt(spark, odd):
+    labels = lambda rows: spark.createDataFrame(rows, "doc_id long, quality int")
+    for few in ([], [(1, None), (None, 1)], [(1, 1)], [(6, 0), (7, 0)], [(98, 0), (99, 1)]):
+        assert quality.keep_good(odd, labels(few)).count() == odd.count()
+
+
 def test_scores_of_odd_rows_with_both_classes(spark, odd):
     labels = spark.createDataFrame([(1, 1, 0), (6, 0, 1), (7, 0, 1), (8, 1, 0), (3, 1, 1), (4, 0, 0), (99, 1, 1)], "doc_id long, quality int, toxic int")
     for score in (quality.score_quality, toxicity.score_toxicity):

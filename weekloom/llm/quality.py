@@ -32,6 +32,8 @@ class QualityModel:
     good: bytes
     bad: bytes
     weights: tuple[float, ...]
+    #: False where no text of both classes was seen, so the score is the same guess for every text.
+    learnt: bool = True
 
 
 def _sampled(docs: DataFrame, ids: DataFrame):
@@ -118,7 +120,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
     sizes = {r["label"]: r["count"] for r in learn.groupBy("label").count().collect()}
     if len(sizes) < 2:
         n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
-        return QualityModel(b"", b"", (float(np.log((n1 + 1) / (n0 + 1))), 0.0, 0.0, 0.0))
+        return QualityModel(b"", b"", (float(np.log((n1 + 1) / (n0 + 1))), 0.0, 0.0, 0.0), False)
     part = F.crc32(F.concat(F.lit("part"), F.col("doc_id").cast("string")).cast("binary")) % 2
     texts = {0: [], 1: []}
     for row in _sampled(docs, sample_ids(learn.where(part == 0), DICTIONARY_ROWS, "dictionary")).collect():
@@ -127,13 +129,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
     sample = sample_ids(learn.where(part == 1), CALIBRATION_ROWS, "calibration")
     rows = _features(docs.join(sample, "doc_id"), QualityModel(good, bad, (0.0,) * 4), ["label"]).collect()
     if not rows:
-        return QualityModel(good, bad, (float(np.log((sizes[1] + 1) / (sizes[0] + 1))), 0.0, 1.0, 0.0))
+        both = bool(good and bad)
+        return QualityModel(good, bad, (float(np.log((sizes[1] + 1) / (sizes[0] + 1))), 0.0, 1.0, 0.0), both)
     x, y = np.array([r["features"] for r in rows]), np.array([r["label"] for r in rows], float)
     order = np.lexsort((*x.T, y))
     weights = np.array(_calibrate(x[order], y[order]))
     shown = (y.sum() + 1) / (len(y) - y.sum() + 1)
+    both = bool(good and bad) or 0 < y.sum() < len(y)
     weights[0] += np.log((sizes[1] + 1) / (sizes[0] + 1) / shown)
-    return QualityModel(good, bad, tuple(float(v) for v in weights))
+    return QualityModel(good, bad, tuple(float(v) for v in weights), both)
 
 
 def score(docs: DataFrame, model: QualityModel, keep: list[str]) -> DataFrame:
@@ -163,7 +167,12 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject, with all their columns."""
+    """The rows of ``docs`` that the classifier does not reject, with all their columns.
+
+    Where nothing could be learnt, as labels are missing or only one class of them has texts, all rows stay.
+    """
     model = fit(docs, labels)
+    if not model.learnt:
+        return docs
     packed = docs.select(F.struct("*").alias("row"), "text")
     return score(packed, model, ["row"]).where(F.col("score") >= THRESHOLD).select("row.*")
