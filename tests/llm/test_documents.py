@@ -242,6 +242,22 @@ def test_random_tokens_stand_out(spark):
     assert len([d for d in flagged if d < 150]) > 100 and not [d for d in flagged if d >= 150]
 
 
+def test_random_tokens_of_every_length_are_found(spark):
+    rng = np.random.default_rng(12)
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = {"base32": upper + "234567", "base36": lower + digits, "base62": upper + lower + digits, "base64": upper + lower + digits + "+/", "base64url": upper + lower + digits + "-_"}
+    kinds = [(name, n) for name in alphabets for n in (20, 32, 40, 64)]
+    tokens = [(k, "".join(rng.choice(list(alphabets[name]), n))) for k, (name, n) in enumerate(kinds) for _ in range(400)]
+    words = ["donaudampfschifffahrtsgesellschaft", "internationalization", "MAXIMUM_CONNECTION_COUNT", "www/static/images/banner", "getUserAccountByIdentifier", "-" * 40, "przedsiebiorstwowymi"]
+    docs = spark.createDataFrame([(k, f"see {t} there") for k, t in tokens + [(-1, w) for w in words]], "doc_id long, text string")
+    found = {}
+    for r in rows_of(secret_scan.scan(docs, ["doc_id"])):
+        found.setdefault(r["doc_id"], []).append(bool(r["secrets"]))
+    assert not any(found[-1])
+    recall = {kinds[k]: np.mean(v) for k, v in found.items() if k >= 0}
+    assert min(recall.values()) >= 0.95
+
+
 def test_redaction_keeps_rows_and_columns(odd):
     out = secret_scan.redact(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
