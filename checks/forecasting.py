@@ -74,12 +74,17 @@ def _(t):
     return _plan(forecast.price_plan_diagnostics(forecast.price_plan(t.series, actions(t))))
 
 
+def _forecast(df):
+    """Prices at seven digits: a percentage on a mean of four prices can lie exactly between two of four."""
+    return rounded(rounded(rounded(df, 7, "avg_price"), 4, "units"), 1, "revenue")
+
+
 @query(
     "f5_recursive_forecast",
-    f"SELECT order_week, category, {rs(4, 'avg_price', 'units')}, {rs(1, 'revenue')} FROM flat_forecast",
+    f"SELECT order_week, category, {rs(7, 'avg_price')}, {rs(4, 'units')}, {rs(1, 'revenue')} FROM flat_forecast",
 )
 def _(t):
-    return rounded(rounded(flat_forecast(t), 4, "avg_price", "units"), 1, "revenue")
+    return _forecast(flat_forecast(t))
 
 
 # Rolling mean over short and long series, with the frame of a model that saw the current row.
@@ -96,7 +101,7 @@ CTES["sparse_recent"] = CTES["recent"].replace("FROM weekly", "FROM sparse")
 
 @query(
     "f5_recursive_forecast_rolling_mean",
-    f"""SELECT order_week, m.category, {r('avg_price_recent', 4, 'avg_price')}, {r('u1', 4, 'units')},
+    f"""SELECT order_week, m.category, {r('avg_price_recent', 7, 'avg_price')}, {r('u1', 4, 'units')},
       {r('avg_price_recent * u1', 1, 'revenue')}
     FROM mean_steps m JOIN future_weeks USING (step) JOIN sparse_recent s ON s.category = m.category""",
 )
@@ -105,7 +110,7 @@ def _(t):
     out = forecast.recursive_forecast(
         history, forecast.price_plan(history), model.RollingMeanPredictor(), forecast.FeaturePolicy(include_current=True)
     )
-    return rounded(rounded(out, 4, "avg_price", "units"), 1, "revenue")
+    return _forecast(out)
 
 
 # The plan lacks one brand and every second week; those weeks take the recent price.
@@ -114,7 +119,7 @@ _PARTIAL = "(SELECT * FROM plan WHERE category <> 'Brand#7' AND week(order_week)
 
 @query(
     "f5_recursive_forecast_partial_plan",
-    f"""SELECT future_weeks.order_week, s.category, {r('coalesce(planned_price, avg_price_recent)', 4, 'avg_price')}, {r('u1', 4, 'units')},
+    f"""SELECT future_weeks.order_week, s.category, {r('coalesce(planned_price, avg_price_recent)', 7, 'avg_price')}, {r('u1', 4, 'units')},
       {r('coalesce(planned_price, avg_price_recent) * u1', 1, 'revenue')}
     FROM flat_steps s JOIN future_weeks USING (step) JOIN recent c ON c.category = s.category
     LEFT JOIN {_PARTIAL} p ON p.order_week = future_weeks.order_week AND p.category = s.category""",
@@ -123,7 +128,7 @@ def _(t):
     plan = forecast.price_plan(t.series, actions(t)).where((F.col("category") != "Brand#7") & (F.weekofyear("order_week") % 2 == 1))
     lines = model.fit_linear_by_group(model_table(t, t.series).where("split = 'train'"), "units", "units_roll4")
     out = forecast.recursive_forecast(t.series, plan, model.LinearPredictor(stage(lines, "lines"), "units_roll4"))
-    return rounded(rounded(out, 4, "avg_price", "units"), 1, "revenue")
+    return _forecast(out)
 
 
 def filled(t):
@@ -135,12 +140,12 @@ def consequences(df, *keys):
     """What SQL can know of a tree forecast: keys, prices, and that units are there and make the revenue."""
     follows = F.abs(F.col("revenue") - F.col("avg_price") * F.col("units")) <= 1e-6 * (1 + F.abs("revenue"))
     known = F.col("units").isNotNull() & ~F.isnan("units")
-    return df.select(*keys, F.round("avg_price", 4).alias("avg_price"), known.alias("predicted"), follows.alias("follows"))
+    return df.select(*keys, F.round("avg_price", 7).alias("avg_price"), known.alias("predicted"), follows.alias("follows"))
 
 
 @query(
     "f5_recursive_forecast_model",
-    f"SELECT order_week, category, {r('avg_price_recent', 4, 'avg_price')}, true AS predicted, true AS follows FROM recent, future_weeks",
+    f"SELECT order_week, category, {r('avg_price_recent', 7, 'avg_price')}, true AS predicted, true AS follows FROM recent, future_weeks",
 )
 def _(t):
     _, fitted = loaded(t)
@@ -150,7 +155,7 @@ def _(t):
 
 @query(
     "f5_recursive_forecast_model_with_plan",
-    f"SELECT order_week, category, {r('planned_price', 4, 'avg_price')}, true AS predicted, true AS follows FROM plan",
+    f"SELECT order_week, category, {r('planned_price', 7, 'avg_price')}, true AS predicted, true AS follows FROM plan",
 )
 def _(t):
     _, fitted = loaded(t, with_revenue=True)

@@ -150,7 +150,7 @@ def _(t):
 
 @query(
     "g4_run_scenarios_model",
-    f"""SELECT order_week, category, scenario, {r('avg_price_recent * (1 + scenario)', 4, 'avg_price')}, true AS predicted, true AS follows
+    f"""SELECT order_week, category, scenario, {r('avg_price_recent * (1 + scenario)', 7, 'avg_price')}, true AS predicted, true AS follows
     FROM recent, future_weeks, scenarios""",
 )
 def _(t):
