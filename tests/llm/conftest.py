@@ -31,5 +31,5 @@ def odd(spark):
         (7, long_text, "en"),
         (8, "7" * 60_000 + " " + "1.2.3.4." * 5_000 + " " + "a" * 60_000, "en"),
     ]
-    text = [(*r, 1.0, "row", 2, "key") for r in rows]
-    return spark.createDataFrame(text, "doc_id long, text string, lang string, score double, row string, fp int, text_key string")
+    text = [(*r, 1.0, "row", 2, "key", 5, "d", 7, 8, 9) for r in rows]
+    return spark.createDataFrame(text, "doc_id long, text string, lang string, score double, row string, fp int, text_key string, label int, data string, features int, piece int, learnt int")

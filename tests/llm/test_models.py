@@ -6,9 +6,9 @@ import corpus_pipeline
 import numpy as np
 from pyspark.sql import functions as F
 
-from weekloom.llm import perspectives, quality, simhash, toxicity, vector_dedup
+from weekloom.llm import labelled, perspectives, quality, simhash, toxicity, vector_dedup
 from weekloom.llm.queries import QUERIES
-from weekloom.session import stage
+from weekloom.session import share_code, stage
 
 MIDDLE = "/root/testdata/sf0.1"
 
@@ -62,6 +62,20 @@ def test_scores_of_odd_rows_with_both_classes(spark, odd):
         assert len(found) == odd.count() and all(0 <= r["score"] <= 1 for r in found)
 
 
+def test_fits_are_bounded_in_rows_of_one_id(spark, monkeypatch):
+    monkeypatch.setattr(quality, "DICTIONARY_ROWS", 20)
+    monkeypatch.setattr(quality, "CALIBRATION_ROWS", 30)
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 40)
+    share_code(spark)
+    text = F.concat(F.lit("words of row "), F.col("id"), F.lit(" and more of them"))
+    docs = spark.range(5000).select(F.when(F.col("id") < 4800, 1).otherwise(F.col("id")).alias("doc_id"), text.alias("text"), F.lit(1).alias("label"))
+    labels = docs.select("doc_id").distinct().select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"), (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    learn = labelled.labels_to_learn(labels, "quality")
+    rows = labelled.sample_rows(docs, learn, F.col("text").cast("binary"), 20, "x")
+    assert rows.count() >= 20 and {r["count"] for r in labelled.at_most(rows, 20).groupBy("label").count().collect()} == {20}
+    assert quality.score_quality(docs, labels).count() == toxicity.score_toxicity(docs, labels).count() == 5000
+
+
 # -- vectors -----------------------------------------------------------------------------------
 
 

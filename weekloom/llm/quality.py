@@ -14,12 +14,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.llm.labelled import held_out, labels_to_learn, sample_ids
+from weekloom.llm.labelled import at_most, held_out, labels_to_learn, sample_rows
 
-#: Bounds of the fit: ids per class and step, and bytes that one sampled text gives to a dictionary.
+#: Bounds of the fit: rows per class and step, and characters that one sampled text gives to a dictionary.
 DICTIONARY_ROWS, CALIBRATION_ROWS, SAMPLE_BYTES = 3000, 4000, 4096
 DICTIONARY_BYTES, BLOCK, LEVEL, EVIDENCE = 1 << 17, 4096, 3, 400
 THRESHOLD = 0.7
@@ -36,12 +36,11 @@ class QualityModel:
     learnt: bool = True
 
 
-def _sampled(docs: DataFrame, ids: DataFrame):
-    """The texts of sampled ids; a longer text gives one piece of it, at a place its hash chooses."""
+def _piece() -> Column:
+    """The text; of a longer one a piece, at a place its hash chooses."""
     text = F.coalesce(F.col("text"), F.lit(""))
     room = F.greatest(F.length(text) - SAMPLE_BYTES, F.lit(0)) + 1
-    piece = F.substring(text, F.pmod(F.xxhash64(text), room).cast("int") + 1, F.lit(SAMPLE_BYTES))
-    return docs.join(ids, "doc_id").select("label", F.encode(piece, "utf-8").alias("piece"))
+    return F.encode(F.substring(text, F.pmod(F.xxhash64(text), room).cast("int") + 1, F.lit(SAMPLE_BYTES)), "utf-8")
 
 
 def _dictionary(texts: list[bytes]) -> bytes:
@@ -87,17 +86,16 @@ class Compressor:
         return float(1 / (1 + np.exp(-np.clip(self.weights @ np.array(self.features(text)), -30, 30))))
 
 
-def _features(docs: DataFrame, model: QualityModel, keep: list[str]) -> DataFrame:
+def _features(rows: DataFrame, model: QualityModel) -> DataFrame:
+    """(label, place, piece) for rows (label, place, piece of text): the piece becomes its features, as eight-byte numbers."""
+
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressor = Compressor(model)
         for batch in batches:
-            found = [compressor.features(x.as_py() or b"") for x in batch.column(0)]
-            column = pa.array([list(f) for f in found], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], column], [*keep, "features"])
+            found = [np.array(compressor.features(x.as_py() or b"")).tobytes() for x in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.binary())], batch.schema.names)
 
-    read = docs.select(F.col("text").cast("binary").alias("data"), *keep)
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in read.schema.fields[1:])
-    return read.mapInArrow(per_batch, f"{kinds}, features array<double>")
+    return rows.mapInArrow(per_batch, "label int, place long, piece binary")
 
 
 def _calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, ...]:
@@ -112,7 +110,8 @@ def _calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float
 
 def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
     """Fit on a bounded sample of labelled rows: ``DICTIONARY_ROWS`` per class for the dictionaries,
-    ``CALIBRATION_ROWS`` per class, other rows, for the calibration (weighted to the true class sizes).
+    ``CALIBRATION_ROWS`` per class, other rows, for the calibration (weighted to the true class sizes). Rows of a
+    repeated id count one by one, so the bounds hold for it too.
 
     Without any label the score is 0.5 everywhere; with one class only it is that class's smoothed share.
     """
@@ -123,15 +122,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
         return QualityModel(b"", b"", (float(np.log((n1 + 1) / (n0 + 1))), 0.0, 0.0, 0.0), False)
     part = F.crc32(F.concat(F.lit("part"), F.col("doc_id").cast("string")).cast("binary")) % 2
     texts = {0: [], 1: []}
-    for row in _sampled(docs, sample_ids(learn.where(part == 0), DICTIONARY_ROWS, "dictionary")).collect():
+    chosen = sample_rows(docs, learn.where(part == 0), _piece(), DICTIONARY_ROWS, "dictionary")
+    for row in at_most(chosen, DICTIONARY_ROWS).collect():
         texts[row["label"]].append(bytes(row["piece"]))
     good, bad = (_dictionary(sorted(texts[k], key=zlib.crc32)) for k in (1, 0))
-    sample = sample_ids(learn.where(part == 1), CALIBRATION_ROWS, "calibration")
-    rows = _features(docs.join(sample, "doc_id"), QualityModel(good, bad, (0.0,) * 4), ["label"]).collect()
+    chosen = sample_rows(docs, learn.where(part == 1), F.col("text").cast("binary"), CALIBRATION_ROWS, "calibration")
+    rows = at_most(_features(chosen, QualityModel(good, bad, (0.0,) * 4)), CALIBRATION_ROWS).collect()
     if not rows:
         both = bool(good and bad)
         return QualityModel(good, bad, (float(np.log((sizes[1] + 1) / (sizes[0] + 1))), 0.0, 1.0, 0.0), both)
-    x, y = np.array([r["features"] for r in rows]), np.array([r["label"] for r in rows], float)
+    x, y = np.array([np.frombuffer(r["piece"]) for r in rows]), np.array([r["label"] for r in rows], float)
     order = np.lexsort((*x.T, y))
     weights = np.array(_calibrate(x[order], y[order]))
     shown = (y.sum() + 1) / (len(y) - y.sum() + 1)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.llm.common import word_blocks
-from weekloom.llm.labelled import held_out, labels_to_learn, sample_ids
+from weekloom.llm.labelled import at_most, held_out, labels_to_learn, sample_rows
 
 #: Bounds of the fit: rows per class, and words of each (a piece at a place its hash chooses, if it has more).
 FIT_ROWS, FIT_WORDS = 5000, 1000
@@ -118,7 +118,7 @@ def ftrl(documents: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
-    """Fit in one task on a bounded sample: ``FIT_ROWS`` rows of each class, ``FIT_WORDS`` words of each.
+    """Fit in one task on a bounded sample: ``FIT_ROWS`` rows of each class (of a repeated id too), ``FIT_WORDS`` words of each.
 
     The bias is moved to the true class sizes. Without any label the score is 0.5 everywhere; with
     one class only it is that class's smoothed share.
@@ -134,12 +134,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for data in batch.column(1):
+            for data in batch.column(2):
                 words = (data.as_py() or b"").split()
                 start = xxhash.xxh64_intdigest(data.as_py() or b"") % max(1, len(words) - FIT_WORDS + 1)
                 piece = b" ".join(words[start : start + FIT_WORDS])
                 found.append(np.unique(np.concatenate([np.zeros(0, np.uint32), *hashed_features(piece)])).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["label", "features"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.binary())], batch.schema.names)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = {(f, y) for b in batches for y, f in zip(b.column(0).to_pylist(), b.column(1).to_pylist())}
@@ -152,8 +152,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
         out = [pa.array([*keys.astype(np.int64), -1], pa.int64()), pa.array([*weights, bias], pa.float64())]
         yield pa.RecordBatch.from_arrays(out, ["key", "weight"])
 
-    sample = docs.join(sample_ids(learn, FIT_ROWS, "toxicity"), "doc_id").select("label", F.col("text").cast("binary").alias("data"))
-    trained = sample.mapInArrow(features, "label int, features binary").repartition(1).mapInArrow(train, "key long, weight double")
+    sample = sample_rows(docs, learn, F.col("text").cast("binary"), FIT_ROWS, "toxicity").mapInArrow(features, "label int, place long, piece binary")
+    sample = at_most(sample, FIT_ROWS).select("label", "piece").repartition(1)
+    trained = sample.mapInArrow(train, "key long, weight double")
     found = {r["key"]: r["weight"] for r in trained.collect()}
     if not found:
         return nothing
