@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import decontaminate, licences, packing, perspectives, privacy, quality, secret_scan, simhash, toxicity, vector_dedup
+from weekloom.llm import best_fit, decontaminate, licences, packing, perspectives, privacy, quality, secret_scan, simhash, toxicity, vector_dedup
 from weekloom.llm.common import of_kind, span_text
 from weekloom.session import share_code
 
@@ -175,3 +175,10 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_toxicity_ftrl")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op13_best_fit_packing")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path
+    documents, checksum = table(spark, folder, "documents"), {"ids_crc32": F.crc32("ids")}
+    return best_fit.pack(documents, path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"), keep=checksum)
