@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import best_fit, decontaminate, licences, packing, perspectives, privacy, quality, secret_scan, simhash, toxicity, vector_dedup
-from weekloom.llm.common import of_kind, span_text
+from weekloom.llm import best_fit, decontaminate, licences, merkle_log, packing, perspectives, privacy, quality, secret_scan, simhash, toxicity, vector_dedup
+from weekloom.llm.common import ascii_lower, of_kind, span_text
 from weekloom.session import share_code
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,6 +177,52 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def _merkle_sql(depth: int = 10, upper_depth: int = 4) -> str:
+    """Levels one by one: trees of up to 8**depth rows, and up to 8**upper_depth of them."""
+    field = lambda x: f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')"
+    leaf = lambda text: "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+    # DuckDB has no crc32
+    shifts = "list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))"
+    letters = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    crc = f"xor(list_reduce([4294967295] || {letters}, lambda c, b: {shifts}), 4294967295)"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def tree(nodes: str, claims: str, name: str, levels: int) -> str:
+        """``nodes`` (t, i, h) up to their roots; ``claims`` (r, t, i, p, d) along, p the siblings so far, d the folded hash."""
+        out = f", {name}0 AS ({nodes}), {name}p0 AS ({claims})"
+        for k in range(levels):
+            out += f""",
+    {name}r{k} AS (SELECT t, i // 8 AS b, list(h ORDER BY i) AS hs, max(c) > 1 AS more FROM (SELECT *, count(*) OVER (PARTITION BY t) AS c FROM {name}{k}) GROUP BY t, i // 8),
+    {name}{k + 1} AS (SELECT t, b AS i, CASE WHEN more THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h FROM {name}r{k}),
+    {name}p{k + 1} AS (SELECT r, t, b AS i, CASE WHEN more THEN p || array_to_string(hs[1:i % 8] || hs[i % 8 + 2:], '') ELSE p END AS p,
+        CASE WHEN more THEN sha256(array_to_string(hs[1:i % 8] || [d] || hs[i % 8 + 2:], '')) ELSE d END AS d
+      FROM {name}p{k} JOIN {name}r{k} USING (t) WHERE b = i // 8)"""
+        return out
+
+    lower = tree("SELECT t, i, h FROM l", "SELECT r, t, i, '' AS p, g AS d FROM l", "a", depth)
+    upper = tree(
+        f"SELECT '' AS t, row_number() OVER (ORDER BY t) - 1 AS i, h FROM a{depth}",
+        f"SELECT r, '' AS t, k.i, p, d FROM ap{depth} JOIN (SELECT t, row_number() OVER (ORDER BY t) - 1 AS i FROM a{depth}) k USING (t)",
+        "b",
+        upper_depth,
+    )
+    return f"""
+    WITH g AS (SELECT doc_id, coalesce('=' || lang, '') AS t, {leaf('text')} AS h, CASE WHEN {crc} % 3 = 0 THEN {leaf(lowered)} ELSE {leaf('text')} END AS g FROM documents),
+    l AS (SELECT row_number() OVER () AS r, *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, h) - 1 AS i FROM g){lower}{upper}
+    SELECT doc_id, l.h AS leaf, s.h AS subroot, root.h AS root, sha256(e.p) AS proof_sha256, e.d AS folded_root, e.d = root.h AS verified
+    FROM l JOIN a{depth} s ON s.t = l.t JOIN bp{upper_depth} e ON e.r = l.r, b{upper_depth} root"""
+
+
+@query("op11_merkle_manifest", _merkle_sql())
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    lowered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    claim = merkle_log.leaf(F.when(lowered, ascii_lower(F.col("text"))).otherwise(F.col("text")))
+    found = merkle_log.prove(merkle_log.manifest(table(spark, folder, "documents"), claim))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
 @query("op13_best_fit_packing")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path
