@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import best_fit, decontaminate, licences, merkle_log, packing, perspectives, privacy, quality, secret_scan, simhash, toxicity, vector_dedup
+from weekloom.llm import best_fit, decontaminate, licences, merkle_log, packing, perspectives, privacy, quality, ranked_search, secret_scan, simhash, toxicity, vector_dedup
 from weekloom.llm.common import ascii_lower, of_kind, span_text
 from weekloom.session import share_code
 
@@ -223,6 +223,27 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_TERMS = r"translate(unnest(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    "op12_ranked_search",
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+    t AS (SELECT r, t, count(*) AS tf FROM (SELECT r, {_TERMS} AS t FROM d) GROUP BY r, t),
+    n AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM t GROUP BY r),
+    s AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM n),
+    w AS (SELECT t, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM t, s GROUP BY t),
+    q AS (SELECT k, item_id, {_TERMS} AS t FROM (SELECT row_number() OVER () AS k, * FROM (SELECT DISTINCT item_id, text FROM benchmark))),
+    x AS (SELECT k, item_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+      FROM (SELECT DISTINCT * FROM q) JOIN t USING (t) JOIN w USING (t) JOIN n USING (r), s GROUP BY k, item_id, r),
+    o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM x JOIN d USING (r) WHERE score > 0)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM o WHERE rank <= 10""",
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op13_best_fit_packing")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path
