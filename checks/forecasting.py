@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from checks.registry import CTES, query, r, rounded, rs
-from checks.series import loaded, model_table
+from checks.series import ensemble, model_table
 from checks.validation import calibrated_forecast, flat_forecast
 from weekloom.operators import features, forecast, model
 from weekloom.session import stage
@@ -148,8 +148,8 @@ def consequences(df, *keys):
     f"SELECT order_week, category, {r('avg_price_recent', 7, 'avg_price')}, true AS predicted, true AS follows FROM recent, future_weeks",
 )
 def _(t):
-    _, fitted = loaded(t)
-    out = forecast.recursive_forecast(filled(t), None, fitted, holidays=t.holidays)
+    _, trees = ensemble(t)
+    out = forecast.recursive_forecast(filled(t), None, trees, holidays=t.holidays)
     return consequences(out, "order_week", "category")
 
 
@@ -158,10 +158,10 @@ def _(t):
     f"SELECT order_week, category, {r('planned_price', 7, 'avg_price')}, true AS predicted, true AS follows FROM plan",
 )
 def _(t):
-    _, fitted = loaded(t, with_revenue=True)
+    _, trees = ensemble(t, with_revenue=True)
     policy = forecast.FeaturePolicy(include_current=True, revenue_proxy=True)
     plan = forecast.price_plan(t.series, actions(t))
-    out = forecast.recursive_forecast(filled(t), plan, fitted, policy, holidays=t.holidays)
+    out = forecast.recursive_forecast(filled(t), plan, trees, policy, holidays=t.holidays)
     return consequences(out, "order_week", "category")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.forecasting import consequences, filled, margins, price_predictor
 from checks.registry import CTES, query, r, rounded, rs
-from checks.series import loaded, model_table
+from checks.series import ensemble, loaded, model_table
 from checks.validation import calibrated_forecast, fix_list, flat_forecast, predictions
 from weekloom.operators import model, pricing, validation, views
 from weekloom.session import stage
@@ -154,8 +154,8 @@ def _(t):
     FROM recent, future_weeks, scenarios""",
 )
 def _(t):
-    _, fitted = loaded(t)
-    runs = pricing.run_scenarios(filled(t), fitted, holidays=t.holidays)
+    _, trees = ensemble(t)
+    runs = pricing.run_scenarios(filled(t), trees, holidays=t.holidays)
     named = runs.withColumnsRenamed({"units_base": "units", "revenue_base": "revenue"})
     return consequences(named, "order_week", "category", "scenario")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import CTES, query, r, rounded, rs, weekly_sql
 from weekloom.operators import features, model
+from weekloom.operators.ensemble import load_ensemble
 from weekloom.operators.features import LAGGED, LAGS
 from weekloom.session import stage, staging_root
 
@@ -275,6 +276,12 @@ def loaded(t, with_revenue: bool = False):
     return table, model.DemandModel.load(path)
 
 
+def ensemble(t, with_revenue: bool = False):
+    """(feature table, the saved model's trees as a node table)."""
+    table, _, path = trained(t, with_revenue)
+    return table, load_ensemble(path)
+
+
 # Trees have no value in SQL; it holds their keys, sizes and prices, and that what must follow does follow.
 @query("d1_train_demand_model", "SELECT split, count(*) AS rows, true AS predicted, true AS fits FROM model_rows GROUP BY split")
 def _(t):
@@ -296,13 +303,16 @@ def _(t):
     )
 
 
-@query("d2_score", "SELECT order_week, category, split, units, true AS predicted FROM model_rows")
+@query("d2_score", "SELECT order_week, category, split, units, true AS predicted, true AS same FROM model_rows")
 def _(t):
+    """MLlib's prediction, and whether the walk through the node table gives the same."""
     table, fitted = loaded(t)
-    scored = model.score(fitted, table)
-    # the column is never null, so only its value tells anything, and makes the trees run
-    finite = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < float("inf"))
-    return scored.select("order_week", "category", "split", "units", finite.alias("predicted"))
+    _, trees = ensemble(t)
+    scored = model.score(fitted, table).withColumnRenamed("prediction", "by_mllib")
+    both = model.score(trees, scored.repartition("order_week", "category"))
+    finite = F.col("by_mllib").isNotNull() & ~F.isnan("by_mllib") & (F.abs("by_mllib") < float("inf"))
+    same = F.coalesce(F.abs(F.col("prediction") - F.col("by_mllib")) <= 1e-9 * (1 + F.abs("by_mllib")), F.lit(False))
+    return both.select("order_week", "category", "split", "units", finite.alias("predicted"), same.alias("same"))
 
 
 @query("d4_save_load_model", "SELECT order_week, category, units AS actual_units, true AS same FROM model_rows WHERE split = 'valid'")

@@ -162,8 +162,12 @@ def _fold(state: DataFrame, predictor: ExpressionPredictor, policy: FeaturePolic
 
         features = _step_features(now, history, F.size(acc.getField("done")) + 1, policy)
         units = predictor.expression(features).cast("double")
-        after = _advance(features, units, history, acc.getField("done"))
-        return F.struct(*[value.alias(name) for name, value in after.items()])
+
+        def after(units: Column) -> Column:
+            return F.struct(*[value.alias(name) for name, value in _advance(features, units, history, acc.getField("done")).items()])
+
+        # the prediction is bound once; the state holds it in several places
+        return F.element_at(F.transform(F.array(units), after), 1)
 
     return state.withColumn("done", F.aggregate("plan", start, step, lambda acc: acc.getField("done")))
 
@@ -206,8 +210,8 @@ def recursive_forecast(
 
     The state is one row per series (category and ``by`` columns of the plan): after one
     shuffle by category the steps move no data, and all scenarios advance together.
-    Predictors that are a column expression run all steps in one pass; fitted pipelines run
-    one small job per step. Returns order_week, category, ``by``, avg_price, units, revenue.
+    Predictors that are a column expression (lines, means, trees as a node table) run all steps in one pass and write
+    nothing; fitted pipelines run one small job per step. Returns order_week, category, ``by``, avg_price, units, revenue.
     """
     policy = policy or FeaturePolicy()
     keys = [CATEGORY, *by]

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekloom.operators import audit, cleaning, features, forecast, model, pricing, validation
+from weekloom.operators.ensemble import TreeEnsemble, load_ensemble
 from weekloom.operators.model import NO_LEAK_PARAMS, TreeParams
 from weekloom.session import clear_staged
 from weekloom.sources.schemas import AUDITED_COLUMNS
@@ -72,13 +73,14 @@ def clean(job: Job, raw: Mapping[str, DataFrame]) -> DataFrame:
     return fact
 
 
-def train(job: Job, fact: DataFrame, holidays: DataFrame | None, params: TreeParams) -> tuple[DataFrame, model.DemandModel]:
-    """Weekly series, features, model and predictions; returns the series forecasts start from, and the model."""
+def train(job: Job, fact: DataFrame, holidays: DataFrame | None, params: TreeParams) -> tuple[DataFrame, TreeEnsemble]:
+    """Weekly series, features, model and predictions; returns the series forecasts start from, and the model's trees."""
     weekly = job.put("weekly_by_category", features.trim_tail(features.weekly_aggregate(fact)))
     table = features.ensure_valid_rows(features.time_split(features.warmup_trim(features.weekly_features(weekly, holidays))))
     table = job.put("weekly_features", table)
-    fitted = model.train_demand_model(table, params=params)
-    fitted.save(f"{job.folder}/demand_model")
+    model.train_demand_model(table, params=params).save(f"{job.folder}/demand_model")
+    fitted = load_ensemble(f"{job.folder}/demand_model")
+    job.put("demand_model_nodes", fitted.nodes)
     job.put("valid_predictions", model.valid_predictions(model.score(fitted, table)))
     return job.put("weekly_filled", features.fill_rolling_mean(weekly, "rev_score_avg")), fitted
 
@@ -95,7 +97,7 @@ def validate(job: Job, history: DataFrame) -> DataFrame:
     return job.put("calibration_by_category", validation.calibration_by_category(pred))
 
 
-def predict(job: Job, history: DataFrame, fitted: model.DemandModel, calibration: DataFrame, raw: Mapping[str, DataFrame]) -> None:
+def predict(job: Job, history: DataFrame, fitted: TreeEnsemble, calibration: DataFrame, raw: Mapping[str, DataFrame]) -> None:
     """Price plan, forecasts, their rollups and checks; raises if a key comes twice or a rollup differs."""
     table = read_parquet(job.spark, f"{job.folder}/weekly_features").where("split = 'valid'")
     actions = job.put("price_actions", pricing.recommend_actions(table, fitted, margins=raw.get("margins")))
@@ -113,7 +115,7 @@ def predict(job: Job, history: DataFrame, fitted: model.DemandModel, calibration
     job.put("kpi_by_category", forecast.kpi_by_category(unified))
 
 
-def recommend(job: Job, history: DataFrame, fitted: model.DemandModel, calibration: DataFrame, raw: Mapping[str, DataFrame]) -> None:
+def recommend(job: Job, history: DataFrame, fitted: TreeEnsemble, calibration: DataFrame, raw: Mapping[str, DataFrame]) -> None:
     """Scenarios, elasticities, and price moves by revenue and by profit."""
     params = validation.calibration_params(calibration)
     runs = job.put("scenarios_detailed", pricing.run_scenarios(history, fitted, calibration=params, holidays=raw.get("holidays")))
