@@ -186,4 +186,4 @@ def _(t):
       (SELECT count(*) FROM sellers_clean WHERE seller_state IS NULL) AS sellers_missing_state_after_fill""",
 )
 def _(t):
-    return audit.cleaning_log(cleaning.typed_items(t.items_raw), t.fact_clean, t.products, t.customers, t.sellers)
+    return t.cleaning_log()

@@ -311,7 +311,8 @@ def _(t):
     scored = model.score(fitted, table).withColumnRenamed("prediction", "by_mllib")
     both = model.score(trees, scored.repartition("order_week", "category"))
     finite = F.col("by_mllib").isNotNull() & ~F.isnan("by_mllib") & (F.abs("by_mllib") < float("inf"))
-    same = F.coalesce(F.abs(F.col("prediction") - F.col("by_mllib")) <= 1e-9 * (1 + F.abs("by_mllib")), F.lit(False))
+    near = F.abs(F.col("prediction") - F.col("by_mllib")) <= 1e-9 * (1 + F.abs("by_mllib"))
+    same = finite & F.coalesce(near & ~F.isnan("prediction"), F.lit(False))
     return both.select("order_week", "category", "split", "units", finite.alias("predicted"), same.alias("same"))
 
 

@@ -121,3 +121,34 @@ def test_medians_of_many_values_in_one_bin(spark):
     assert counted.groupBy("g", "bin").count().agg(F.max("count")).head()[0] > 4000 and largest < 20
     alone = exact_medians(df, [], ["v"]).head()
     assert alone.v == pytest.approx(1000.2, abs=1e-9)
+
+
+@pytest.mark.parametrize("filled", [False, True])
+def test_group_and_overall_medians_equal_sorted_values(spark, filled):
+    import random
+    from statistics import median
+
+    from weekloom.functions.grouped import group_and_overall_medians
+
+    rng = random.Random(6)
+    for _ in range(4):
+        spread = rng.choice([1e-6, 1.0, 1e6])
+        data = [(rng.choice(["a", "b", "c", None]), None if rng.random() < 0.4 else round(rng.gauss(0, spread), rng.choice([0, 9]))) for _ in range(rng.choice([3, 60, 301]))]
+        data += [("hot", 5.0)] * rng.choice([0, 400]) + [("empty", None)] * 3
+        of = {g: [v for k, v in data if k == g and v is not None] for g, _ in data if g is not None}
+        groups = {g: median(v) for g, v in of.items() if v}
+        known = [v for _, v in data if v is not None]
+        if filled:
+            known += [groups[g] for g, v in data if v is None and g in groups]
+        by_group, overall = group_and_overall_medians(spark.createDataFrame(data, "g string, v double"), "g", ["v"], filled)
+        assert {r.g: r.v for r in by_group.collect()} == pytest.approx(groups, rel=1e-12, abs=1e-300)
+        assert overall.head().v == pytest.approx(median(known), rel=1e-12, abs=1e-300)
+
+
+def test_medians_read_the_data_twice(spark):
+    from weekloom.functions.grouped import group_and_overall_medians
+
+    reads = spark.sparkContext.accumulator(0)
+    seen = spark.range(200, numPartitions=2).rdd.map(lambda r: reads.add(1) or (str(r[0] % 3), float(r[0])))
+    by_group, overall = group_and_overall_medians(spark.createDataFrame(seen, "g string, v double"), "g", ["v"], True)
+    assert by_group.count() == 3 and overall.head().v == 99.5 and reads.value == 400

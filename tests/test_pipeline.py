@@ -7,6 +7,7 @@ from weekloom import pipeline
 from weekloom.functions.columns import money_avg, money_sum, number
 from weekloom.operators import cleaning, features, forecast, model
 from weekloom.session import _STAGED
+from weekloom.sources import runs
 from weekloom.sources.schemas import schema
 from weekloom.sources.star import StarTables
 from weekloom.sources.tables import first_file, read_csv, write_table
@@ -33,7 +34,9 @@ def raw_files(spark, folder):
 def test_the_whole_job(spark, tmp_path):
     roles = raw_files(spark, tmp_path / "raw")
     names = pipeline.run(spark, str(tmp_path / "raw"), str(tmp_path / "out"), model.TreeParams(max_iter=5, max_depth=3))
-    out = {name: spark.read.parquet(str(tmp_path / "out" / name)) for name in names}
+    out = runs.published(spark, str(tmp_path / "out"))
+    assert set(out) == set(names) and runs.incomplete(spark, str(tmp_path / "out")) == []
+    assert out["rejected_values"].count() == 0 and out["cleaning_log"].count() == 1
     assert len(names) == len(set(names)) and all(df.columns for df in out.values())
     assert spark.sparkContext.applicationId not in _STAGED
     series = {r.category for r in out["weekly_by_category"].select("category").distinct().collect()}

@@ -47,10 +47,11 @@ def test_scores_are_looked_at(spark, monkeypatch):
         def predict(self, df):
             return df.withColumn("prediction", F.lit(self.value))
 
-    for value, expected in ((1.5, True), (float("nan"), False), (float("-inf"), False)):
+    for value, walked, expected in ((1.5, 1.5, (True, True)), (1.5, 1.6, (True, False)), (float("nan"), 1.5, (False, False)), (float("-inf"), 1.5, (False, False))):
         monkeypatch.setattr(series, "loaded", lambda t, v=value: (series.model_table(t), Fixed(v)))
-        found = QUERIES["d2_score"](spark, FOLDER).select("predicted").distinct().collect()
-        assert [r["predicted"] for r in found] == [expected]
+        monkeypatch.setattr(series, "ensemble", lambda t, v=walked: (None, Fixed(v)))
+        found = QUERIES["d2_score"](spark, FOLDER).select("predicted", "same").distinct().collect()
+        assert [tuple(r) for r in found] == [expected]
 
 
 def test_entry_runs(spark):

@@ -48,11 +48,10 @@ def medians_within(counted: DataFrame, middle: DataFrame, keys: list[str]) -> Da
 
     A continuous column may have very many values in one bin. So the bin is counted again in
     ``PARTS`` parts, and only the one or two parts with the middle ranks are ordered: a task never
-    sorts more than the parts of a bin or the values of a part. The counted values are written
-    out first, so both steps rest on one scan of the data.
+    sorts more than the parts of a bin or the values of a part. Both steps read the counted values, so
+    these should be a written table.
     """
     by = [*keys, "measure"]
-    counted = stage(counted, "middle-values")
     part = F.floor((F.asinh("value") * 1000 - F.col("bin")) * PARTS)
     placed = counted.withColumn("part", part).join(middle, [*by, "bin"])
     parts = placed.groupBy(*by, "bin", "part", "total").agg(F.sum("n").alias("n"), F.min("before").alias("before"))
@@ -95,8 +94,60 @@ def exact_medians(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
         kept = kept.where(F.col(k).isNotNull())
     binned = binned_values(kept, keys, cols)
     middle = middle_bins(stage(bin_counts(binned, keys), "bin-counts"), keys)
-    medians = medians_within(count_values(binned, middle, keys), middle, keys)
-    return measures_to_columns(medians, keys, cols)
+    counted = stage(count_values(binned, middle, keys), "middle-values")
+    return measures_to_columns(medians_within(counted, middle, keys), keys, cols)
+
+
+def _bracket(counts: DataFrame, missing: DataFrame | None, ends: DataFrame | None) -> DataFrame:
+    """(measure, first, last): bins between which the overall middle ranks lie.
+
+    With ``missing`` (keys, measure, n) as many values join each group somewhere between its ``ends`` (keys, measure, low, high).
+    All at the low ends, or all at the high ones, are the two extremes: ranks in between lie in between.
+    """
+    known = counts.groupBy("measure", "bin").agg(F.sum("n").alias("n"))
+    found = []
+    for end in ("low", "high"):
+        shifted = known
+        if missing is not None:
+            added = missing.join(ends, [c for c in missing.columns if c != "n"]).select("measure", F.col(end).alias("bin"), "n")
+            shifted = known.unionByName(added).groupBy("measure", "bin").agg(F.sum("n").alias("n"))
+        found.append(middle_bins(shifted, []).select("measure", "bin"))
+        if missing is None:
+            break
+    both = found[0].unionByName(found[-1])
+    return both.groupBy("measure").agg(F.min("bin").alias("first"), F.max("bin").alias("last"))
+
+
+def group_and_overall_medians(df: DataFrame, key: str, cols: list[str], filled: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(medians per group, one row of overall medians), exact, from two passes over ``df``.
+
+    The first pass counts bins; from these alone it follows in which bins the middle ranks of every group lie, and between which
+    bins those of the whole column, so the second pass counts the values of both. With ``filled`` the overall median is that of the column
+    after each group's missing values have become its median. A NULL key is no group.
+    """
+    binned = binned_values(df, [key], cols)
+    counts = stage(bin_counts(binned, [key]), "bin-counts")
+    known = counts.where(F.col(key).isNotNull())
+    middle = middle_bins(known, [key])
+    missing = known.where(F.col("bin").isNull()).select(key, "measure", "n") if filled else None
+    ends = middle.groupBy(key, "measure").agg(F.min("bin").alias("low"), F.max("bin").alias("high")) if filled else None
+    # one row per column, so its size is known
+    span = F.broadcast(_bracket(counts, missing, ends))
+    mine = middle.select(key, "measure", "bin", F.lit(True).alias("mine"))
+    near = binned.join(span, "measure").join(mine, [key, "measure", "bin"], "left")
+    near = near.where(F.col("mine") | F.col("bin").between(F.col("first"), F.col("last")))
+    values = stage(near.groupBy(key, "measure", "bin", "value").agg(F.count("*").alias("n")), "middle-values")
+    by_group = stage(medians_within(values.where(F.col(key).isNotNull()), middle, [key]), "group-medians")
+    all_counts = counts.select("measure", "bin", "n")
+    all_values = values.select("measure", "bin", "value", "n")
+    if filled:
+        added = add_bin(missing.join(by_group, [key, "measure"]).select("measure", F.col("median").alias("value"), "n"))
+        all_counts = all_counts.unionByName(added.drop("value"))
+        all_values = all_values.unionByName(added)
+    overall = middle_bins(all_counts.groupBy("measure", "bin").agg(F.sum("n").alias("n")), [])
+    all_values = all_values.groupBy("measure", "bin", "value").agg(F.sum("n").alias("n"))
+    medians = medians_within(all_values, overall, [])
+    return measures_to_columns(by_group, [key], cols), measures_to_columns(medians, [], cols)
 
 
 def modes(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -81,19 +82,31 @@ def dataset_overview(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def cleaning_log(
-    items_cleaned: DataFrame, fact: DataFrame, products: DataFrame, customers: DataFrame, sellers: DataFrame
-) -> DataFrame:
-    """One row of quality counters after cleaning.
+class CleaningLog:
+    """Quality counters taken by the jobs that write the cleaned tables, without a scan of their own.
 
-    ``items_cleaned`` are the typed items before rows without a price are dropped.
+    ``watch`` gives a frame that counts as it is written; once all are, ``table`` is the log. A watched frame is to be
+    written once: a counter has the numbers of the first job that ran it to the end.
     """
-    spark = fact.sparkSession
-    counters = {
-        "dropped_items_price_na": items_cleaned.agg(F.count_if(F.col("price").isNull())),
-        "remaining_fact_rows": fact.agg(F.count("*")),
-        "products_missing_english_category_now": products.agg(F.count_if(F.col("category") == "unknown")),
-        "customers_missing_state_after_fill": customers.agg(F.count_if(F.col("customer_state").isNull())),
-        "sellers_missing_state_after_fill": sellers.agg(F.count_if(F.col("seller_state").isNull())),
+
+    COUNTERS = {
+        "dropped_items_price_na": lambda: F.count_if(F.col("price").isNull()),
+        "remaining_fact_rows": lambda: F.count(F.lit(1)),
+        "products_missing_english_category_now": lambda: F.count_if(F.col("category") == "unknown"),
+        "customers_missing_state_after_fill": lambda: F.count_if(F.col("customer_state").isNull()),
+        "sellers_missing_state_after_fill": lambda: F.count_if(F.col("seller_state").isNull()),
     }
-    return spark.range(1).select(*[df.scalar().alias(name) for name, df in counters.items()])
+
+    def __init__(self) -> None:
+        self.seen: dict[str, Observation] = {}
+
+    def watch(self, counter: str, df: DataFrame) -> DataFrame:
+        self.seen[counter] = Observation(f"{counter}-{uuid.uuid4().hex}")
+        return df.observe(self.seen[counter], self.COUNTERS[counter]().alias("n"))
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """One row; raises if a counter was never watched, and waits for one whose job hasn't ended."""
+        missing = [c for c in self.COUNTERS if c not in self.seen]
+        if missing:
+            raise ValueError(f"nothing counts {missing}")
+        return spark.range(1).select(*[F.lit(self.seen[c].get["n"]).cast("long").alias(c) for c in self.COUNTERS])

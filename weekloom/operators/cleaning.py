@@ -8,18 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.functions.columns import number, present
-from weekloom.functions.grouped import (
-    add_bin,
-    bin_counts,
-    binned_values,
-    count_values,
-    measures_to_columns,
-    medians_within,
-    middle_bins,
-    modes,
-    one_row,
-)
-from weekloom.session import stage
+from weekloom.functions.grouped import group_and_overall_medians, modes, one_row
+from weekloom.operators.audit import CleaningLog
 
 UNKNOWN = "unknown"
 UNKNOWN_CITY = "unknown_city"
@@ -39,35 +29,16 @@ def impute_by_group_median(
 
     NaN and values that are not positive (with ``allow_zero``: negative) count as missing, before
     any median is taken. The global median is over observed values, or, with
-    ``fallback="filled"``, over the column after the group medians were put in; both come from
-    the same bin counts (see exact_medians). The small tables in between are written out: a
-    table of known size can be broadcast, an unmeasured one would first cost a shuffle of
-    ``df``. So ``df`` is read per pass, but never moved for the medians.
+    ``fallback="filled"``, over the column after the group medians were put in. Both take two reads
+    of ``df``, which is never moved for them (see group_and_overall_medians).
     """
+    if fallback not in ("observed", "filled"):
+        raise ValueError(f"unknown fallback: {fallback}")
     cols = list(cols)
     values = {c: present(F.col(c).cast("double")) for c in cols}
     valid = df.withColumns({c: F.when(v >= 0 if allow_zero else v > 0, v) for c, v in values.items()})
-    binned = binned_values(valid, [group], cols)
-    counts = stage(bin_counts(binned, [group]), "bin-counts")
-    known = counts.where(F.col(group).isNotNull())
-    middle = middle_bins(known, [group])
-    by_group = stage(medians_within(count_values(binned, middle, [group]), middle, [group]), "group-medians")
-
-    added = None
-    if fallback == "filled":
-        missing = known.where(F.col("bin").isNull()).drop("bin")
-        added = missing.join(by_group, [group, "measure"]).select("measure", F.col("median").alias("value"), "n")
-        added = add_bin(added)
-        counts = counts.unionByName(added.drop("value").withColumn(group, F.lit(None).cast(df.schema[group].dataType)))
-    elif fallback != "observed":
-        raise ValueError(f"unknown fallback: {fallback}")
-    middle = stage(middle_bins(counts.groupBy("measure", "bin").agg(F.sum("n").alias("n")), []), "middle-bins")
-    values = count_values(binned, middle, [])
-    if added is not None:
-        values = values.unionByName(added).groupBy("measure", "bin", "value").agg(F.sum("n").alias("n"))
-    overall = stage(measures_to_columns(medians_within(values, middle, []), [], cols), "overall-medians")
+    medians, overall = group_and_overall_medians(valid, group, cols, filled=fallback == "filled")
     overall = one_row(overall)
-    medians = measures_to_columns(by_group, [group], cols)
     medians = medians.select(group, *[F.col(c).alias(f"_median_{c}") for c in cols])
     columns = [c for c in df.columns if c not in cols]
     return valid.join(medians, group, "left").select(
@@ -148,12 +119,16 @@ def check_items(items: DataFrame, sellers: DataFrame) -> DataFrame:
     return impute_by_group_median(placed, ["freight_value"], "seller_state", allow_zero=True, fallback="filled")
 
 
-def clean_items(items: DataFrame, sellers: DataFrame) -> tuple[DataFrame, DataFrame]:
+def clean_items(items: DataFrame, sellers: DataFrame, log: CleaningLog | None = None) -> tuple[DataFrame, DataFrame]:
     """(clean items, one-row count of the items dropped for want of a price).
 
-    Each row is one unit unless the table has a ``units`` column of its own.
+    Each row is one unit unless the table has a ``units`` column of its own. With ``log`` the dropped items are also counted by whatever
+    job writes what is made of the clean ones.
     """
-    clean = check_items(items, sellers).where(F.col("price").isNotNull())
+    checked = check_items(items, sellers)
+    if log:
+        checked = log.watch("dropped_items_price_na", checked)
+    clean = checked.where(F.col("price").isNotNull())
     if "units" not in clean.columns:
         clean = clean.withColumn("units", F.lit(1))
     return clean, dropped_items(items)

@@ -1,4 +1,4 @@
-"""The whole retail job: raw tables in a folder to every output table in another.
+"""The whole retail job: raw tables in a folder to every output table in another, published as one set.
 
 Clean, aggregate by week, train, validate, calibrate, forecast, run scenarios, recommend. Each output is
 written once and read again by the steps after it, so an executor may be lost at any point and no
@@ -8,6 +8,7 @@ step repeats another's scans.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,8 @@ from weekloom.operators.ensemble import TreeEnsemble, load_ensemble
 from weekloom.operators.model import NO_LEAK_PARAMS, TreeParams
 from weekloom.session import clear_staged
 from weekloom.sources.schemas import AUDITED_COLUMNS
-from weekloom.sources.tables import first_file, read_parquet, write_table
+from weekloom.sources.runs import Run
+from weekloom.sources.tables import first_file, read_parquet
 
 # The raw tables, and the endings under which a file may lie in the folder.
 RAW = ("orders", "order_items", "products", "category_translation", "payments", "reviews", "customers", "sellers", "geolocation")
@@ -25,29 +27,18 @@ OPTIONAL = ("holidays", "margins", "unit_costs")
 DIMENSIONS = ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")
 
 
-def read_raw(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The nine raw tables and those optional ones that are there, as CSV or Parquet."""
+def read_raw(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """The nine raw tables and those optional ones that are there, as CSV or Parquet; and the ledger of values that didn't parse."""
+    ledger: list[DataFrame] = []
 
     def read(name: str, optional: bool) -> DataFrame | None:
-        return first_file(spark, [f"{folder}/{name}.csv", f"{folder}/{name}.parquet"], name, optional)
+        return first_file(spark, [f"{folder}/{name}.csv", f"{folder}/{name}.parquet"], name, optional, ledger)
 
     found = {name: read(name, False) for name in RAW} | {name: read(name, True) for name in OPTIONAL}
-    return {name: df for name, df in found.items() if df is not None}
+    return {name: df for name, df in found.items() if df is not None}, ledger
 
 
-class Job:
-    """Outputs by name, each written under ``folder`` and read back."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder, self.names = spark, folder, []
-
-    def put(self, name: str, df: DataFrame) -> DataFrame:
-        write_table(df, f"{self.folder}/{name}")
-        self.names.append(name)
-        return read_parquet(self.spark, f"{self.folder}/{name}")
-
-
-def clean(job: Job, raw: Mapping[str, DataFrame]) -> DataFrame:
+def clean(job: Run, raw: Mapping[str, DataFrame]) -> DataFrame:
     """Audit and clean; returns the fact."""
     named = raw["products"].join(raw["category_translation"], "product_category_name", "left")
     audited = {n: named if n == "products" else raw[n] for n in AUDITED_COLUMNS}
@@ -55,40 +46,40 @@ def clean(job: Job, raw: Mapping[str, DataFrame]) -> DataFrame:
     job.put("order_status_counts", audit.status_counts(raw["orders"], "order_status"))
     job.put("dataset_overview", audit.dataset_overview({n: raw[n] for n in AUDITED_COLUMNS}))
     translated = cleaning.translate_category(raw["products"], raw["category_translation"])
-    products = job.put("products_clean", cleaning.impute_by_group_median(translated, DIMENSIONS, "category"))
+    log = audit.CleaningLog()
+    products = cleaning.impute_by_group_median(translated, DIMENSIONS, "category")
+    products = job.put("products_clean", log.watch("products_missing_english_category_now", products))
     geo = job.put("geo_reference", cleaning.geo_reference(raw["geolocation"]))
-    places = {
-        who: job.put(f"{who}s_clean", cleaning.fill_from_reference(raw[f"{who}s"], geo, f"{who}_zip_code_prefix", f"{who}_city", f"{who}_state"))
-        for who in ("customer", "seller")
-    }
+    places = {}
+    for who in ("customer", "seller"):
+        filled = cleaning.fill_from_reference(raw[f"{who}s"], geo, f"{who}_zip_code_prefix", f"{who}_city", f"{who}_state")
+        places[who] = job.put(f"{who}s_clean", log.watch(f"{who}s_missing_state_after_fill", filled))
     orders = cleaning.flag_valid_sales(cleaning.delivery_duration(raw["orders"]))
     payments = job.put("payments_by_order", cleaning.payments_by_order(raw["payments"]))
     reviews = job.put("reviews_by_order", cleaning.reviews_by_order(raw["reviews"]))
-    items, _ = cleaning.clean_items(raw["order_items"], places["seller"])
-    fact = job.put(
-        "fact_orders_clean", cleaning.build_fact(items, orders, products, places["seller"], places["customer"], payments, reviews)
-    )
-    typed = cleaning.typed_items(raw["order_items"])
-    job.put("cleaning_log", audit.cleaning_log(typed, fact, products, places["customer"], places["seller"]))
+    items, _ = cleaning.clean_items(raw["order_items"], places["seller"], log)
+    fact = cleaning.build_fact(items, orders, products, places["seller"], places["customer"], payments, reviews)
+    fact = job.put("fact_orders_clean", log.watch("remaining_fact_rows", fact))
+    job.put("cleaning_log", log.table(job.spark))
     return fact
 
 
-def train(job: Job, fact: DataFrame, holidays: DataFrame | None, params: TreeParams) -> tuple[DataFrame, TreeEnsemble]:
+def train(job: Run, fact: DataFrame, holidays: DataFrame | None, params: TreeParams) -> tuple[DataFrame, TreeEnsemble]:
     """Weekly series, features, model and predictions; returns the series forecasts start from, and the model's trees."""
     weekly = job.put("weekly_by_category", features.trim_tail(features.weekly_aggregate(fact)))
     table = features.ensure_valid_rows(features.time_split(features.warmup_trim(features.weekly_features(weekly, holidays))))
     table = job.put("weekly_features", table)
-    model.train_demand_model(table, params=params).save(f"{job.folder}/demand_model")
-    fitted = load_ensemble(f"{job.folder}/demand_model")
+    model.train_demand_model(table, params=params).save(job.path("demand_model"))
+    fitted = load_ensemble(job.path("demand_model"))
     job.put("demand_model_nodes", fitted.nodes)
     job.put("valid_predictions", model.valid_predictions(model.score(fitted, table)))
     return job.put("weekly_filled", features.fill_rolling_mean(weekly, "rev_score_avg")), fitted
 
 
-def validate(job: Job, history: DataFrame) -> DataFrame:
+def validate(job: Run, history: DataFrame) -> DataFrame:
     """Errors, leaderboard and calibration of the predictions; returns the calibration."""
     names = {"actual_units": "y", "pred_units": "yhat"}
-    pred = read_parquet(job.spark, f"{job.folder}/valid_predictions").withColumnsRenamed(names)
+    pred = read_parquet(job.spark, job.path("valid_predictions")).withColumnsRenamed(names)
     job.put("validation_overall_metrics", validation.overall_metrics(pred))
     job.put("calibration_global", validation.calibration_global(pred))
     per = job.put("validation_by_category", validation.metrics_by_category(pred))
@@ -97,9 +88,9 @@ def validate(job: Job, history: DataFrame) -> DataFrame:
     return job.put("calibration_by_category", validation.calibration_by_category(pred))
 
 
-def predict(job: Job, history: DataFrame, fitted: TreeEnsemble, calibration: DataFrame, raw: Mapping[str, DataFrame]) -> None:
+def predict(job: Run, history: DataFrame, fitted: TreeEnsemble, calibration: DataFrame, raw: Mapping[str, DataFrame]) -> None:
     """Price plan, forecasts, their rollups and checks; raises if a key comes twice or a rollup differs."""
-    table = read_parquet(job.spark, f"{job.folder}/weekly_features").where("split = 'valid'")
+    table = read_parquet(job.spark, job.path("weekly_features")).where("split = 'valid'")
     actions = job.put("price_actions", pricing.recommend_actions(table, fitted, margins=raw.get("margins")))
     chosen = history.groupBy("category").agg(F.sum("revenue").alias("base_revenue"))
     job.put("selected_actions", pricing.select_within_budget(actions, chosen))
@@ -115,7 +106,7 @@ def predict(job: Job, history: DataFrame, fitted: TreeEnsemble, calibration: Dat
     job.put("kpi_by_category", forecast.kpi_by_category(unified))
 
 
-def recommend(job: Job, history: DataFrame, fitted: TreeEnsemble, calibration: DataFrame, raw: Mapping[str, DataFrame]) -> None:
+def recommend(job: Run, history: DataFrame, fitted: TreeEnsemble, calibration: DataFrame, raw: Mapping[str, DataFrame]) -> None:
     """Scenarios, elasticities, and price moves by revenue and by profit."""
     params = validation.calibration_params(calibration)
     runs = job.put("scenarios_detailed", pricing.run_scenarios(history, fitted, calibration=params, holidays=raw.get("holidays")))
@@ -132,14 +123,24 @@ def recommend(job: Job, history: DataFrame, fitted: TreeEnsemble, calibration: D
 
 
 def run(spark: SparkSession, raw_folder: str, out_folder: str, params: TreeParams = NO_LEAK_PARAMS) -> list[str]:
-    """Write every output table of the job under ``out_folder``; returns their names."""
-    raw, job = read_raw(spark, raw_folder), Job(spark, out_folder)
+    """Write every output table of the job; returns their names.
+
+    All appear together (see runs.published): a job that fails leaves readers with the tables of the run before.
+    """
+    raw, ledger = read_raw(spark, raw_folder)
+    job = Run(spark, out_folder)
     try:
+        if ledger:
+            job.put("rejected_values", reduce(DataFrame.unionByName, ledger))
         fact = clean(job, raw)
         history, fitted = train(job, fact, raw.get("holidays"), params)
         calibration = validate(job, history)
         predict(job, history, fitted, calibration, raw)
         recommend(job, history, fitted, calibration, raw)
+        job.publish()
+    except BaseException:
+        job.discard()
+        raise
     finally:
         clear_staged(spark)
     return job.names

@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.operators import cleaning, features
+from weekloom.operators import audit, cleaning, features
 from weekloom.session import stage
 
 # Translated product types; one type is left out on purpose.
@@ -200,6 +200,17 @@ class StarTables:
     def payments(self) -> DataFrame:
         return cleaning.payments_by_order(self.payments_raw)
 
+    def cleaning_log(self) -> DataFrame:
+        """The quality counters of one run of the cleaning: its tables are written as ever, the fact to nowhere."""
+        log = audit.CleaningLog()
+        products = stage(log.watch("products_missing_english_category_now", self.clean_products()), "products")
+        customers = stage(log.watch("customers_missing_state_after_fill", self.clean_customers()), "customers")
+        sellers = stage(log.watch("sellers_missing_state_after_fill", self.clean_sellers()), "sellers")
+        items, _ = cleaning.clean_items(self.items_raw, sellers, log)
+        fact = cleaning.build_fact(items, self.orders, products, sellers, customers, self.payments, self.reviews)
+        log.watch("remaining_fact_rows", fact).write.format("noop").mode("overwrite").save()
+        return log.table(self.spark)
+
     @cached_property
     def fact_clean(self) -> DataFrame:
         items, _ = cleaning.clean_items(self.items_raw, self.sellers)

@@ -10,18 +10,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from weekloom.functions.columns import parse_date, present
+from weekloom.session import stage
 from weekloom.sources.schemas import schema
 
 
-def read_csv(spark: SparkSession, path: str, name: str, day_first: Sequence[str] = ()) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, name: str, day_first: Sequence[str] = (), ledger: list[DataFrame] | None = None
+) -> DataFrame:
     """Header CSV read with the declared schema, matched by column name.
 
     Columns are read as text and cast, because files keep their own column order; NaN and a value
     that does not parse become NULL. Columns in ``day_first`` use the day-first formats.
+
+    With ``ledger`` nothing vanishes unseen: the file is read once into a staged table, and a frame (table, column,
+    value, raw) of its values that did not parse, each with its whole row as JSON, is added to the list. Blanks and NaN are missing, not rejected.
     """
     text = spark.read.option("header", True).option("multiLine", False).option("escape", '"').csv(path)
     sources = {c.replace("﻿", "").strip().lower(): c for c in text.columns}
-    out = []
+    out, rejected = [], []
     for field in schema(name).fields:
         source = sources.get(field.name)
         if source is None:
@@ -29,10 +35,19 @@ def read_csv(spark: SparkSession, path: str, name: str, day_first: Sequence[str]
             continue
         raw = F.col(f"`{source}`")
         value = parse_date(raw) if field.name in day_first else raw.try_cast(field.dataType)
+        bad = value.isNull() & (F.trim(raw) != "") & (F.lower(F.trim(raw)) != "nan")
+        rejected.append(F.when(bad, F.struct(F.lit(field.name).alias("column"), raw.alias("value"))))
         if isinstance(field.dataType, (DoubleType, FloatType)):
             value = present(value)
         out.append(value.cast(field.dataType).alias(field.name))
-    return text.select(*out)
+    if ledger is None:
+        return text.select(*out)
+    found = F.array_compact(F.array(*rejected)) if rejected else F.array().cast("array<struct<column:string,value:string>>")
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in text.columns]))
+    parsed = text.select(*out, found.alias("_rejected"), F.when(F.size(found) > 0, whole).alias("_raw"))
+    parsed = stage(parsed, f"{name}-parsed")
+    ledger.append(parsed.select(F.lit(name).alias("table"), F.inline("_rejected"), F.col("_raw").alias("raw")))
+    return parsed.drop("_rejected", "_raw")
 
 
 def read_parquet(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
@@ -40,14 +55,16 @@ def read_parquet(spark: SparkSession, path: str, name: str | None = None) -> Dat
     return reader.parquet(path)
 
 
-def first_file(spark: SparkSession, candidates: Sequence[str], name: str, optional: bool = False) -> DataFrame | None:
+def first_file(
+    spark: SparkSession, candidates: Sequence[str], name: str, optional: bool = False, ledger: list[DataFrame] | None = None
+) -> DataFrame | None:
     """The first of the paths that exists, read by its ending: CSV or else Parquet.
 
-    Existence is asked of Spark's own reader, so paths in any store will do.
+    Existence is asked of Spark's own reader, so paths in any store will do. ``ledger`` as in read_csv.
     """
     for path in candidates:
         try:
-            return read_csv(spark, path, name) if path.endswith(".csv") else read_parquet(spark, path, name)
+            return read_csv(spark, path, name, ledger=ledger) if path.endswith(".csv") else read_parquet(spark, path, name)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
