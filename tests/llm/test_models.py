@@ -107,6 +107,32 @@ def test_vectors_equal_brute_force(spark, monkeypatch):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found.values())
 
 
+def test_links_across_cells_are_found_from_each_side_and_counted_once(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(900, 3))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    nodes = spark.createDataFrame([(i, 0, 1, v.tolist()) for i, v in enumerate(x)], "vec_id long, label int, copies long, unit array<double>")
+    centres = vector_dedup.spherical_kmeans(x, 12)
+    share_code(spark)
+    placed = vector_dedup.assign(nodes, {(0, 3): centres})
+    home = (x @ centres.T).argmax(1)
+    link = x @ x.T >= vector_dedup.COSINE
+    visits = {r["vec_id"]: set(r["visits"]) for r in rows_of(placed.where("not guest"))}
+    pairs = [(i, j) for i in range(len(x)) for j in range(i) if link[i, j] and home[i] != home[j]]
+    sides = [(home[j] in visits[i], home[i] in visits[j]) for i, j in pairs]
+    assert {(True, True), (True, False), (False, True)} <= set(sides) and (False, False) not in sides
+    found = vector_dedup.block_links(placed)
+    counts = {r["a"]: r["n"] for r in rows_of(found.where("b is null").groupBy("a").agg(F.sum("n").alias("n")))}
+    assert [counts.get(i, 0) for i in range(len(x))] == (link.sum(1) - 1).tolist()
+
+
+def test_every_label_of_the_middle_table_has_cells(spark):
+    share_code(spark)
+    units = vector_dedup.valid_vectors(spark.read.parquet(f"{MIDDLE}/embeddings.parquet"))
+    centres = vector_dedup.fit_centres(units)
+    assert centres and min(len(c) for c in centres.values()) >= 2
+
+
 def test_odd_vectors_link_with_nothing(spark):
     nan, inf = float("nan"), float("inf")
     rows = [

@@ -1,16 +1,19 @@
 """Near-duplicate vectors: spherical k-means cells, blocked cosine products, one representative per group.
 
 Vectors with the same label link at a cosine of ``COSINE`` or more. Each goes to the cell of its nearest centre.
-Two unit vectors with that cosine are at most ``REACH`` apart, so a vector can only link into a lower
-cell c if it lies within ``REACH`` of the plane between both centres; there it is a guest. No link is
-lost. A cell is cut into blocks of a bounded size; every pair of blocks is one task-sized product
+Two unit vectors with that cosine are at most ``REACH`` apart. If they lie in two cells, their distances to the plane between both centres
+add up to no more than that, so one of them lies within half of it: it is a guest in the other's cell, and no link is
+lost. Where both do, the pair counts in the lower cell only. A cell is cut into blocks of a bounded size; every pair of blocks is one task-sized product
 that returns link counts and a spanning forest of the links, never the pairs themselves.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,22 +22,47 @@ from weekloom.session import stage
 
 COSINE = 0.98
 REACH = float(np.sqrt(2 - 2 * COSINE)) + 1e-9
+HALF = REACH / 2 * (1 + 1e-6) + 1e-9
+#: Centres that are closer than this don't tell their cells apart; all vectors of one are guests in the other.
+CLOSE = 1e-4
 #: Aimed size of a cell, most cells of a label and of all labels (they are sent to every task), rows of a block.
 CELL, LABEL_CELLS, ALL_CELLS, BLOCK = 128, 2048, 32_768, 2048
 #: Sampled vectors per centre for the fit, and its rounds.
 SAMPLE, ROUNDS = 32, 8
 
 
+def _units(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(rows that can link, their vectors scaled to length one in double precision)."""
+    column = column.cast(pa.list_(pa.float64()))
+    starts, values = column.offsets.to_numpy()[:-1], column.values.to_numpy(zero_copy_only=False)  # a null component is NaN
+    sizes = np.where(column.is_valid().to_numpy(zero_copy_only=False), np.diff(column.offsets.to_numpy()), 0)
+    kept, parts = [], []
+    for size in np.unique(sizes[sizes > 0]):
+        rows = np.flatnonzero(sizes == size)
+        x = np.ascontiguousarray(values[starts[rows][:, None] + np.arange(size)])
+        largest = np.abs(x).max(1)
+        good = np.isfinite(x).all(1) & (largest > 0)
+        x = x[good] / largest[good, None]
+        kept.append(rows[good])
+        parts.append(x / np.sqrt((x * x).sum(1))[:, None])
+    offsets = np.cumsum([0, *(n for p in parts for n in [p.shape[1]] * len(p))])
+    flat = np.concatenate([p.ravel() for p in parts]) if parts else np.zeros(0)
+    rows = np.concatenate(kept) if kept else np.zeros(0, np.int64)
+    return rows, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.float64()))
+
+
 def valid_vectors(vectors: DataFrame) -> DataFrame:
     """(vec_id, label, unit) of the vectors that can link, scaled to length one in double precision."""
-    v = F.transform("embedding", lambda x: x.cast("double"))
-    rows = vectors.where(F.col("label").isNotNull() & F.col("vec_id").isNotNull()).select("vec_id", "label", v.alias("v"))
-    finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    largest = F.array_max(F.transform("v", lambda x: F.abs(x)))
-    rows = rows.where(F.col("v").isNotNull() & finite).withColumn("m", largest).where("m > 0")
-    scaled = rows.withColumn("v", F.transform("v", lambda x: x / F.col("m")))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    return scaled.withColumn("norm", norm).select("vec_id", "label", F.transform("v", lambda x: x / F.col("norm")).alias("unit"))
+    rows = vectors.where(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).select("vec_id", "label", "embedding")
+
+    def scale(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept, unit = _units(batch.column(2))
+            ids = [batch.column(c).take(pa.array(kept)) for c in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*ids, unit], ["vec_id", "label", "unit"])
+
+    kinds = [f.dataType.simpleString() for f in rows.schema.fields]
+    return rows.mapInArrow(scale, f"vec_id {kinds[0]}, label {kinds[1]}, unit array<double>")
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -52,15 +80,14 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
 def fit_centres(units: DataFrame) -> dict[tuple, np.ndarray]:
     """Centres per (label, dimension), fitted in one task per label on at most ``SAMPLE`` vectors for each centre.
 
-    A label gets a centre for every ``CELL`` of its vectors, fewer if the bounds on cells bind; labels
-    with less than two centres are one cell and don't appear. The result is bounded by ``ALL_CELLS``.
+    A label gets a centre for every ``CELL`` of its vectors, rounded up, fewer if the bounds on cells bind. The result is bounded by
+    ``ALL_CELLS`` and the number of labels.
     """
     sizes = units.groupBy("label", F.size("unit").alias("dim")).count()
     total = sizes.agg(F.sum("count")).first()[0] or 0
     rate = min(1 / CELL, ALL_CELLS / max(total, 1))
-    k = F.least(F.floor(F.col("count") * rate), F.lit(LABEL_CELLS)).cast("int")
-    large = sizes.withColumn("k", k).where("k >= 2")
-    plan = large.withColumn("share", F.col("k") * SAMPLE / F.col("count")).select("label", "dim", "k", "share")
+    k = F.least(F.ceil(F.col("count") * rate), F.lit(LABEL_CELLS)).cast("int")
+    plan = sizes.withColumn("k", k).withColumn("share", F.col("k") * SAMPLE / F.col("count")).select("label", "dim", "k", "share")
     draw = F.pmod(F.xxhash64(F.lit("sample"), "vec_id"), F.lit(1_000_000)) / 1_000_000
     sample = units.withColumn("dim", F.size("unit")).join(plan, ["label", "dim"]).where(draw < F.col("share"))
 
@@ -78,33 +105,39 @@ def fit_centres(units: DataFrame) -> dict[tuple, np.ndarray]:
 
 
 def assign(units: DataFrame, centres: dict[tuple, np.ndarray]) -> DataFrame:
-    """(label, dim, cell, guest, vec_id, copies, unit): each vector in its cell, and as a guest where it may link."""
+    """(label, dim, cell, guest, home, visits, vec_id, copies, unit): each vector in its cell, and as a guest where it may link.
+
+    ``home`` is the vector's own cell, ``visits`` those where it is a guest. A label of which the sample has no vector is one cell.
+    """
+    known = units.sparkSession.sparkContext.broadcast(centres)
+    columns = ["label", "dim", "cell", "guest", "home", "visits", "vec_id", "copies", "unit"]
 
     def place(batches):
         for batch in batches:
             parts = []
             for (label, dim), group in batch.groupby(["label", "dim"], sort=False):
                 group = group.reset_index(drop=True)
-                c = centres.get((label, dim))
-                if c is None:
-                    parts.append(group.assign(cell=0, guest=False))
-                    continue
-                apart = np.linalg.norm(c[:, None, :] - c[None, :, :], axis=2) if len(c) <= 512 else None
                 x = np.stack(group["unit"].to_numpy())
+                c = known.value.get((label, dim), x[:0])
+                if len(c) < 2:
+                    parts.append(group.assign(cell=0, guest=False, home=0, visits=[[]] * len(group)))
+                    continue
                 for i in range(0, len(x), 1024):
                     part = group.iloc[i : i + 1024]
                     near = x[i : i + 1024] @ c.T
                     home = near.argmax(1)
                     gap = near[np.arange(len(near)), home][:, None] - near
-                    between = apart[home] if apart is not None else np.sqrt(np.maximum(0, 2 - 2 * (c[home] @ c.T)))
-                    row, cell = np.nonzero((gap <= (REACH + 1e-9) * between) & (np.arange(len(c)) < home[:, None]))
-                    parts.append(part.assign(cell=home, guest=False))
-                    parts.append(part.iloc[row].assign(cell=cell, guest=True))
-            yield pd.concat(parts)[["label", "dim", "cell", "guest", "vec_id", "copies", "unit"]]
+                    between = np.sqrt(np.maximum(0, 2 - 2 * (c[home] @ c.T)))
+                    guest = ((gap <= HALF * between) | (between < CLOSE)) & (np.arange(len(c)) != home[:, None])
+                    row, cell = np.nonzero(guest)
+                    visits = np.split(cell, np.cumsum(guest.sum(1))[:-1])
+                    parts.append(part.assign(cell=home, guest=False, home=home, visits=visits))
+                    parts.append(part.iloc[row].assign(cell=cell, guest=True, home=home[row], visits=[[]] * len(row)))
+            yield pd.concat(parts)[columns]
 
     rows = units.withColumn("dim", F.size("unit"))
     kinds = {f.name: f.dataType.simpleString() for f in units.schema.fields}
-    schema = f"label {kinds['label']}, dim int, cell int, guest boolean, vec_id {kinds['vec_id']}, copies long, unit array<double>"
+    schema = f"label {kinds['label']}, dim int, cell int, guest boolean, home int, visits array<int>, vec_id {kinds['vec_id']}, copies long, unit array<double>"
     return rows.select("label", "dim", "vec_id", "copies", "unit").mapInPandas(place, schema)
 
 
@@ -126,6 +159,22 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
+def _counted_elsewhere(group: pd.DataFrame, left: np.ndarray, right: np.ndarray) -> np.ndarray | None:
+    """Of vectors at home (rows) and guests (columns): pairs in which each visits the other's cell, and the guest's is the lower one."""
+    guests = group["home"].to_numpy()[right]
+    cell = int(group["cell"].iloc[0])
+    lower = np.unique(guests[guests < cell])
+    if not group["guest"].to_numpy()[right].any() or not len(lower):
+        return None
+    visits = group["visits"].to_numpy()[left]
+    owner = np.repeat(np.arange(len(left)), [len(v) for v in visits])
+    visited = np.concatenate([*visits, np.zeros(0, int)]).astype(int)
+    back = np.zeros((len(left), len(lower) + 1), bool)  # the last column is for guests from higher cells
+    known = np.isin(visited, lower)
+    back[owner[known], np.searchsorted(lower, visited[known])] = True
+    return back[:, np.where(guests < cell, np.searchsorted(lower, guests), len(lower))]
+
+
 def compare(group: pd.DataFrame) -> pd.DataFrame:
     """Link counts (b null) and forest links (n null) between the two blocks of a group, or within its only one."""
     ids, copies, side = (group[c].to_numpy() for c in ("vec_id", "copies", "side"))
@@ -133,12 +182,15 @@ def compare(group: pd.DataFrame) -> pd.DataFrame:
     left, right = (np.flatnonzero(side == k) for k in (0, 1))
     same = not len(right) and bool(group["within"].iloc[0])
     right = left if same else right
+    again = _counted_elsewhere(group, left, right)
     counts, links = np.zeros(len(ids), np.int64), []
     for i in range(0, len(left), 512):
         rows = left[i : i + 512]
         hit = x[rows] @ x[right].T >= COSINE
         if same:
             hit &= rows[:, None] != right[None, :]
+        elif again is not None:
+            hit &= ~again[i : i + 512]
         a, b = np.nonzero(hit)
         np.add.at(counts, rows[a], copies[right[b]])
         if not same:
@@ -174,21 +226,21 @@ def block_links(placed: DataFrame) -> DataFrame:
     ).otherwise(F.expr("cast(array() as array<struct<i:int,j:int,side:int>>)"))
     as_guest = F.transform(F.sequence(F.lit(0), F.col("homes") - 1), lambda i: pair(i, -me - 1, F.lit(1)))
     all_pairs = F.explode(F.when(F.col("guest"), as_guest).otherwise(F.concat(at_home, with_guests)))
-    spread = rows.withColumn("p", all_pairs).select(*by, "p.i", "p.j", "p.side", (F.col("p.i") == F.col("p.j")).alias("within"), "vec_id", "copies", "unit")
+    spread = rows.withColumn("p", all_pairs).select(*by, "p.i", "p.j", "p.side", (F.col("p.i") == F.col("p.j")).alias("within"), "guest", "home", "visits", "vec_id", "copies", "unit")
     return spread.groupBy(*by, "i", "j").applyInPandas(compare, "a long, b long, n long")
 
 
 def near_duplicates(vectors: DataFrame) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row of ``vectors``.
 
-    Equal vectors of a label are one node with its number of copies. A vector that is null, zero or has null or
+    ``vec_id`` is a whole number. Equal vectors of a label are one node with its number of copies. A vector that is null, zero or has null or
     non-finite components, a null label or a null id links with nothing: no links, its own component.
     Vectors of different length don't link. Repeated rows count as copies of each other. Other columns are ignored;
     an empty table gives no rows.
     """
     units = stage(valid_vectors(vectors), "units")
     nodes = stage(units.groupBy("label", "unit").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")), "nodes")
-    placed = assign(nodes, fit_centres(nodes))
+    placed = stage(assign(nodes, fit_centres(nodes)), "placed")
     found = stage(block_links(placed), "block-links")
     counts = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others"))
     reached = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "member")
