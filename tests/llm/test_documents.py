@@ -298,17 +298,72 @@ def test_base_personal_data_equals_brute_force(spark, odd):
     assert privacy.find_personal_data(docs.limit(0)).count() == 0
 
 
-def test_disclosing_terms_are_found_and_common_ones_left(spark):
+def brute_terms(texts):
+    """Kinds of the disclosing terms, from counts over all texts: {term: kind}."""
+    word = re.compile(privacy.WORD)
+    lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t)
+    spoken, beside, named = {}, {}, {}
+    for key in set(texts):
+        spoken[key] = {lower(w) for w in word.findall(key)}
+        blanked, entities = list(key), set()
+        for kind, pattern, ok in PERSONAL:
+            for m in pattern.finditer(key):
+                if ok(m[0]):
+                    plain = re.sub("[^0-9]", "", m[0]) if kind in ("card", "phone") else m[0].lower()
+                    entities.add(f"{kind}:{plain}")
+                    blanked[m.start() : m.end()] = " " * (m.end() - m.start())
+        named[key] = entities
+        beside[key] = {lower(w) for w in word.findall("".join(blanked))} if entities else set()
+    n = len(spoken)
+    share = {}
+    for e in set().union(*named.values()):
+        mine = [k for k in named if e in named[k]]
+        for t in set().union(*(beside[k] for k in mine)):
+            both = sum(t in beside[k] for k in mine)
+            df = sum(t in spoken[k] for k in spoken)
+            if len(mine) < n:
+                told = np.log2(n * both / ((df + 1) * len(mine))) / np.log2(n / len(mine))
+                share[t] = max(share.get(t, 0), told)
+    return {t: "removed" if s >= 0.95 else "number" if re.search("[0-9]", t) else "word" for t, s in share.items() if s >= 0.8}
+
+
+def check_terms(docs):
+    rows = rows_of(docs.select("doc_id", "text"))
+    known = brute_terms([r["text"] or "" for r in rows])
+    texts = {xxhash.xxh64_intdigest((r["text"] or "").encode(), 42): r["text"] or "" for r in rows}
+    found = rows_of(privacy.find_personal_data(docs))
+    assert len(found) == len(rows)
+    for r in found:
+        text = texts[r["text_key"] % 2**64]
+        blanked = list(text)
+        for s in r["found"]:
+            if s["kind"] in privacy.FORMATS:
+                blanked[s["start"] : s["end"]] = " " * (s["end"] - s["start"])
+        expected = sorted(
+            (privacy.KINDS.index(known[t]), m.start(), m.end(), known[t])
+            for m in re.finditer(privacy.WORD, "".join(blanked))
+            if (t := re.sub("[A-Z]", lambda x: x[0].lower(), m[0])) in known
+        )
+        assert [(s["rank"], s["start"], s["end"], s["kind"]) for s in r["found"] if s["kind"] not in privacy.FORMATS] == expected
+    return known, found
+
+
+def test_disclosing_terms_equal_brute_force(spark, tables, odd, monkeypatch):
+    far = " ".join(f"filler{k % 7}" for k in range(120))
     common = [f"the letter number{i} of the house reached user{i}@mail.example in the end" for i in range(60)]
-    telling = [f"note {w} from Zanzibaria near zz@secret.example in the {w}" for w in ("red", "blue", "green", "grey")]
-    docs = spark.createDataFrame(list(enumerate(common + telling + telling[:1])), "doc_id long, text string")
-    found = {r["doc_id"]: r["found"] for r in rows_of(privacy.find_personal_data(docs))}
-    texts = dict(enumerate(common + telling + telling[:1]))
-    terms = lambda d: {texts[d][s["start"] : s["end"]] for s in found[d] if s["kind"] not in privacy.FORMATS}
-    assert all("Zanzibaria" in terms(d) and "the" not in terms(d) for d in range(60, 65))
-    assert not any(terms(d) for d in range(60))
+    telling = [f"note {w} from Zanzibaria {far} near zz@secret.example in the {w}" for w in ("red", "blue", "green", "grey", *(f"w{k}" for k in range(12)))]
+    alone = ["somewhere else they speak of zanzibaria and of Number7 too"]
+    texts = common + telling + telling[:1] + alone
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    known, found = check_terms(docs)
+    assert known["zanzibaria"] == "word" and known["number9"] == "number" and "the" not in known
     clean = {r["doc_id"]: r["text"] for r in rows_of(privacy.sanitise(docs))}
-    assert "[EMAIL]" in clean[60] and "Zanzibaria" not in clean[60] and clean[0].endswith("reached [EMAIL] in the end")
+    assert clean[0] == "the letter [NUMBER] of the house reached [EMAIL] in the end"
+    assert "Zanzibaria" not in clean[60] and "[EMAIL]" in clean[60] and "[WORD]" in clean[len(texts) - 1]
+    check_terms(odd)
+    monkeypatch.setattr(privacy, "BROADCAST_TERMS", 0)
+    known, found = check_terms(tables("documents"))
+    assert known and any(s["kind"] in ("word", "number", "removed") for r in found for s in r["found"])
 
 
 # -- licences ----------------------------------------------------------------------------------

@@ -1,9 +1,11 @@
 """Personal data: fixed formats, and terms that reveal whom they stand beside.
 
-E-mail and IP addresses, card and phone numbers are the protected entities. For every term near a mention, counts
+E-mail and IP addresses, card and phone numbers are the protected entities. For every term of a text that names one, counts
 over all distinct texts give the information it has about the entity: PMI(t; e) = log2 of
-N df(t, e) / (df(t) df(e)), against the entity's own IC(e) = log2 of N / df(e). A term that gives away
-most of that information is generalised to its kind, one that gives away nearly all is removed.
+N both / ((df(t) + 1) df(e)), against the entity's own IC(e) = log2 of N / df(e); both is the number of texts with term and entity, wherever in
+them. The one added to df(t) is the text in which the term may yet appear without the entity, so a term that was seen once tells less than one that was seen
+ten times. A term that gives away most of that information is generalised to its kind, one that gives away nearly all is removed, at every
+place of every text.
 """
 
 from __future__ import annotations
@@ -24,13 +26,10 @@ FORMATS = {
 #: Kinds in the order of the results: the formats, then what becomes of a term.
 KINDS = (*FORMATS, "word", "number", "removed")
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Characters on each side of a mention that count as its context.
-CONTEXT = 64
-#: A term is looked at if it stands near the entity in so many distinct texts.
-SUPPORT = 3
 GENERALISE, REMOVE = 0.8, 0.95
-#: Candidate terms are broadcast up to this count (some 60 bytes each); beyond it the words are shuffled.
-BROADCAST_TERMS = 500_000
+SMOOTHING = 1
+#: Terms, and pairs of text and term, are broadcast up to this count (some 60 bytes each); beyond it the words or texts are shuffled.
+BROADCAST_TERMS = 1_000_000
 
 
 def _digits(value: Column) -> Column:
@@ -78,88 +77,89 @@ def _entity(m: Column) -> Column:
     return F.concat(m["kind"], F.lit(":"), plain)
 
 
-def contexts(text: Column, found: Column) -> Column:
-    """(entity, term, start, end) of the whole words beside each mention; ``text`` has its mentions blanked."""
+def words(text: Column) -> Column:
+    """The distinct terms of a text, A-Z lower-cased."""
+    return F.array_distinct(F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0)))
 
-    def beside(m: Column) -> Column:
-        entity = _entity(m)
-        first = F.greatest(m["start"] - CONTEXT, F.lit(0))
-        before = F.substring(text, first + 1, m["start"] - first)
-        after = F.substring(text, m["end"] + 1, F.lit(CONTEXT))
-        # a word that touches the outer edge of its side may be cut there; one that touches the mention is part of a longer token
-        left = F.filter(spans(before, WORD), lambda s: ((s["start"] > 0) | (first == 0)) & (s["end"] < F.length(before)))
-        right = F.filter(spans(after, WORD), lambda s: (s["start"] > 0) & ((s["end"] < CONTEXT) | (m["end"] + CONTEXT >= F.length(text))))
 
-        def row(s: Column, base: Column) -> Column:
-            return F.struct(
-                entity.alias("entity"), ascii_lower(s["value"]).alias("term"), (base + s["start"]).alias("start"), (base + s["end"]).alias("end")
-            )
+def read_mentions(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, mentions, terms) per row of ``docs``, staged: the one full scan for formats.
 
-        return F.concat(F.transform(left, lambda s: row(s, first)), F.transform(right, lambda s: row(s, m["end"])))
+    ``terms`` are those outside the mentions, of texts that have any.
+    """
+    text = F.coalesce("text", F.lit(""))
 
-    return F.flatten(F.transform(found, beside))
+    def of(t: Column, m: Column) -> Column:
+        terms = F.when(F.size(m) > 0, words(blank_spans(t, m))).otherwise(F.expr("cast(array() as array<string>)"))
+        return F.struct(m.alias("mentions"), terms.alias("terms"))
 
+    found = let(text, lambda t: let(mentions(t), lambda m: of(t, m)))
+    rows = docs.select("doc_id", F.xxhash64(text).alias("text_key"), found.alias("r"))
+    return stage(rows.select("doc_id", "text_key", "r.mentions", "r.terms"), "mentions")
 
-def read_mentions(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, mentions, contexts) per row of ``docs``, staged: the one full scan for formats."""
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", F.xxhash64(text).alias("text_key"), let(text, lambda t: let(mentions(t), lambda m: F.struct(m.alias("mentions"), let(blank_spans(t, m), lambda b: contexts(b, m)).alias("contexts")))).alias("r"))
-    return stage(rows.select("doc_id", "text_key", "r.mentions", "r.contexts"), "mentions")
 
+def _small(df: DataFrame) -> DataFrame:
+    """``df``, to be broadcast if it has no more rows than the bound."""
+    return F.broadcast(df) if df.count() <= BROADCAST_TERMS else df
 
-def disclosures(docs: DataFrame, read: DataFrame) -> DataFrame:
-    """(term, entity, share) of the terms that disclose an entity: share is PMI(t; e) / IC(e).
 
-    A term stands in at least as many texts as it stands near any entity; where even that number
-    makes the share too small, the term's own count isn't needed. So common words are not counted.
+def disclosures(docs: DataFrame, read: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((term, share) of the terms that disclose an entity, (text_key, term) of the texts that may have them).
+
+    share is the greatest PMI(t; e) / IC(e). It reaches ``GENERALISE`` only if df(t) + 1 <= df(e) (N / df(e)) ** (1 - GENERALISE), as a term stands
+    with an entity in no more texts than that has. So common words, which no entity explains, are neither counted nor paired.
     """
-    near = read.select("text_key", F.explode("contexts").alias("c")).select("text_key", "c.entity", "c.term").distinct()
-    pairs = near.groupBy("term", "entity").agg(F.count("*").alias("both")).where(F.col("both") >= SUPPORT)
-    beside = near.select("text_key", "term").distinct().groupBy("term").agg(F.count("*").alias("beside"))
-    named = read.select("text_key", F.explode("mentions").alias("m")).select("text_key", _entity(F.col("m")).alias("entity"))
-    with_entity = named.distinct().groupBy("entity").agg(F.count("*").alias("with_entity"))
     total = read.select("text_key").distinct().agg(F.count("*").cast("double").alias("n")).scalar()
-    known = F.log2(total / F.col("with_entity"))
-
-    def share(with_term: str) -> Column:
-        told = F.log2(total * F.col("both") / (F.col(with_term) * F.col("with_entity")))
-        return F.when(known > 0, told / known)
-
-    pairs = pairs.join(beside, "term").join(with_entity, "entity").where(share("beside") >= GENERALISE)
-    pairs = stage(pairs.select("term", "entity", "both", "with_entity"), "term-pairs")
-    terms = pairs.select("term").distinct()
-    if terms.count() <= BROADCAST_TERMS:
-        terms = F.broadcast(terms)
+    named = read.select("text_key", F.explode("mentions").alias("m")).select("text_key", _entity(F.col("m")).alias("entity")).distinct()
+    entities = named.groupBy("entity").agg(F.count("*").alias("with_entity")).where(F.col("with_entity") < total)
+    reach = F.col("with_entity") * F.pow(total / F.col("with_entity"), F.lit(1 - GENERALISE)) * (1 + 1e-9)
+    named = stage(named.join(entities.withColumn("reach", reach), "entity"), "entities")
+    reached = named.groupBy("text_key").agg(F.max("reach").alias("reach"))
+    near = read.where(F.size("mentions") > 0).select("text_key", F.explode("terms").alias("term")).distinct()
+    near = stage(near.join(reached, "text_key"), "near-terms")
+    beside = near.groupBy("term").agg(F.count("*").alias("beside"), F.max("reach").alias("reach"))
+    candidates = stage(beside.where(F.col("beside") + SMOOTHING <= F.col("reach")).select("term"), "candidates")
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    spoken = texts.select(
-        F.xxhash64("text").alias("text_key"),
-        F.explode(F.array_distinct(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(WORD), F.lit(0)))).alias("term"),
-    )
-    with_term = spoken.join(terms, "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("with_term"))
-    joined = pairs.join(with_term, "term").select("term", "entity", share("with_term").alias("share"))
-    return joined.where(F.col("share") >= GENERALISE)
+    spoken = texts.select(F.xxhash64("text").alias("text_key"), F.explode(words(F.col("text"))).alias("term"))
+    spoken = stage(spoken.join(_small(candidates), "term", "left_semi").distinct(), "spoken")
+    with_term = spoken.groupBy("term").agg(F.count("*").alias("with_term"))
+    rare = near.join(with_term, "term").where(F.col("with_term") + SMOOTHING <= F.col("reach")).select("text_key", "term", "with_term")
+    pairs = rare.join(named, "text_key").where(F.col("with_term") + SMOOTHING <= F.col("reach"))
+    pairs = pairs.groupBy("term", "entity").agg(F.count("*").alias("both"), F.max("with_term").alias("with_term"), F.max("with_entity").alias("with_entity"))
+    told = F.log2(total * F.col("both") / ((F.col("with_term") + SMOOTHING) * F.col("with_entity")))
+    pairs = pairs.withColumn("share", told / F.log2(total / F.col("with_entity")))
+    return pairs.groupBy("term").agg(F.max("share").alias("share")).where(F.col("share") >= GENERALISE), spoken
 
 
 def term_spans(docs: DataFrame, read: DataFrame) -> DataFrame:
-    """(doc_id, text_key, terms): the spans of disclosing terms in each text that has any."""
-    at = read.select("doc_id", "text_key", F.explode("contexts").alias("c")).select("doc_id", "text_key", "c.*")
-    hits = at.join(disclosures(docs, read), ["term", "entity"])
+    """(text_key, terms): the spans of disclosing terms, at all their places outside mentions, of each text that has any."""
+    found, spoken = disclosures(docs, read)
     kind = F.when(F.col("share") >= REMOVE, "removed").when(F.col("term").rlike("[0-9]"), "number").otherwise("word")
-    strongest = hits.groupBy("doc_id", "text_key", "start", "end", "term").agg(F.max("share").alias("share"))
-    rank = F.when(F.col("kind") == "word", KINDS.index("word")).when(F.col("kind") == "number", KINDS.index("number")).otherwise(KINDS.index("removed"))
-    each = strongest.withColumn("kind", kind).select("doc_id", "text_key", F.struct(rank.alias("rank"), "start", "end", "kind").alias("s"))
-    return each.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list("s")).alias("terms"))
+    hits = stage(spoken.join(found.select("term", kind.alias("kind")), "term"), "term-hits")
+    of_text = hits.groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("known"))
+    small = hits.count() <= BROADCAST_TERMS
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
+    both = texts.join(F.broadcast(of_text) if small else of_text, F.col("key") == F.col("text_key"))
+    ranks = F.create_map(*[F.lit(x) for k in ("word", "number", "removed") for x in (k, KINDS.index(k))])
+
+    def row(s: Column) -> Column:
+        kind = F.element_at(F.col("known"), ascii_lower(s["value"]))
+        return F.struct(F.element_at(ranks, kind).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), kind.alias("kind"))
+
+    blank = let(F.col("text"), lambda t: blank_spans(t, mentions(t)))
+    terms = F.filter(F.transform(let(blank, lambda t: spans(t, WORD)), row), lambda s: s["kind"].isNotNull())
+    return both.select("text_key", F.sort_array(terms).alias("terms")).dropDuplicates(["text_key"])
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, found) per row of ``docs``; found: (rank, start, end, kind), by kind as listed, then start.
 
     Null and empty texts have none. Repeated rows each get theirs, but count once in the statistics,
-    as all equal texts do. A null doc_id is one more id. Other columns are ignored; an empty table gives no rows.
+    as all equal texts do. A null doc_id is one more id. Very long texts are read whole; the spans of one text are one array.
+    Other columns are ignored; an empty table gives no rows.
     """
     read = read_mentions(docs)
-    terms = term_spans(docs, read).withColumnsRenamed({"doc_id": "d", "text_key": "k"})
-    both = read.join(terms, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")), "left")
+    both = read.drop("terms").join(term_spans(docs, read), "text_key", "left")
     base = F.transform("mentions", lambda m: F.struct(m["rank"], m["start"], m["end"], m["kind"]))
     none = F.expr("cast(array() as array<struct<rank:int,start:int,end:int,kind:string>>)")
     found = F.sort_array(F.concat(base, F.coalesce("terms", none)))
