@@ -39,8 +39,8 @@ def _walk(items: Column, start: Column) -> Column:
     return F.aggregate(items, zero, step)
 
 
-def spans(text: Column, pattern: str, block: int = 256) -> Column:
-    """All leftmost non-overlapping matches as (start, end, value), in code points.
+def spans(text: Column, pattern: str | Column, block: int = 256) -> Column:
+    """All leftmost non-overlapping matches as (start, end, value), in code points; none of a null pattern.
 
     The gaps between matches come from ``split``, the matches from ``regexp_extract_all``, which
     runs only where there is a match. Spans are built block by block, so a text with very many

@@ -24,11 +24,13 @@ FORMATS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 #: Kinds in the order of the results: the formats, then what becomes of a term.
-KINDS = (*FORMATS, "word", "number", "removed")
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+TERM_KINDS = ("word", "number", "removed")
+KINDS = (*FORMATS, *TERM_KINDS)
+LETTER = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+WORD = LETTER + "+"
 GENERALISE, REMOVE = 0.8, 0.95
 SMOOTHING = 1
-#: Terms, and pairs of text and term, are broadcast up to this count (some 60 bytes each); beyond it the words or texts are shuffled.
+#: Terms, and the terms and mentions of all texts, are broadcast up to this count (some 60 bytes each); beyond it the words or texts are shuffled.
 BROADCAST_TERMS = 1_000_000
 
 
@@ -131,24 +133,25 @@ def disclosures(docs: DataFrame, read: DataFrame) -> tuple[DataFrame, DataFrame]
     return pairs.groupBy("term").agg(F.max("share").alias("share")).where(F.col("share") >= GENERALISE), spoken
 
 
-def term_spans(docs: DataFrame, read: DataFrame) -> DataFrame:
-    """(text_key, terms): the spans of disclosing terms, at all their places outside mentions, of each text that has any."""
-    found, spoken = disclosures(docs, read)
+def term_patterns(found: DataFrame, spoken: DataFrame) -> DataFrame:
+    """(text_key, word, number, removed): per kind the pattern of a text's disclosing terms of that kind, or null.
+
+    Terms hold no ASCII sign, so they stand in a pattern as they are. Alternatives are grouped by first and second character, so a
+    word of the text is held against few of them however many terms the text has.
+    """
     kind = F.when(F.col("share") >= REMOVE, "removed").when(F.col("term").rlike("[0-9]"), "number").otherwise("word")
-    hits = stage(spoken.join(found.select("term", kind.alias("kind")), "term"), "term-hits")
-    of_text = hits.groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("known"))
-    small = hits.count() <= BROADCAST_TERMS
-    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
-    both = texts.join(F.broadcast(of_text) if small else of_text, F.col("key") == F.col("text_key"))
-    ranks = F.create_map(*[F.lit(x) for k in ("word", "number", "removed") for x in (k, KINDS.index(k))])
+    hits = spoken.join(found.select("term", kind.alias("kind")), "term").repartition("text_key")
+    first, second, rest = (F.substring("term", 1, 1), F.substring("term", 2, 1), F.expr("substring(term, 3)"))
+    levels = hits.select("text_key", "kind", first.alias("first"), second.alias("second"), rest.alias("rest"))
 
-    def row(s: Column) -> Column:
-        kind = F.element_at(F.col("known"), ascii_lower(s["value"]))
-        return F.struct(F.element_at(ranks, kind).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), kind.alias("kind"))
+    def any_of(column: str) -> Column:
+        return F.concat(F.lit("(?:"), F.array_join(F.collect_list(column), "|"), F.lit(")"))
 
-    blank = let(F.col("text"), lambda t: blank_spans(t, mentions(t)))
-    terms = F.filter(F.transform(let(blank, lambda t: spans(t, WORD)), row), lambda s: s["kind"].isNotNull())
-    return both.select("text_key", F.sort_array(terms).alias("terms")).dropDuplicates(["text_key"])
+    levels = levels.groupBy("text_key", "kind", "first", "second").agg(any_of("rest").alias("rest"))
+    levels = levels.withColumn("rest", F.concat("second", "rest")).groupBy("text_key", "kind", "first").agg(any_of("rest").alias("rest"))
+    levels = levels.withColumn("rest", F.concat("first", "rest")).groupBy("text_key", "kind").agg(any_of("rest").alias("rest"))
+    whole = F.concat(F.lit(f"(?<!{LETTER})"), F.col("rest"), F.lit(f"(?!{LETTER})"))
+    return levels.groupBy("text_key").agg(*[F.max(F.when(F.col("kind") == k, whole)).alias(k) for k in TERM_KINDS])
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
@@ -159,11 +162,24 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     Other columns are ignored; an empty table gives no rows.
     """
     read = read_mentions(docs)
-    both = read.drop("terms").join(term_spans(docs, read), "text_key", "left")
-    base = F.transform("mentions", lambda m: F.struct(m["rank"], m["start"], m["end"], m["kind"]))
+    named = read.where(F.size("mentions") > 0).select("text_key", "mentions").dropDuplicates(["text_key"])
+    known = stage(term_patterns(*disclosures(docs, read)).join(named, "text_key", "full"), "known")
+    size = [F.coalesce(F.length(k), F.lit(0)) for k in TERM_KINDS] + [60 * F.coalesce(F.size("mentions"), F.lit(0))]
+    weight = known.agg(F.sum(sum(size, F.lit(60)))).first()[0] or 0
+    known = F.broadcast(known) if weight <= 60 * BROADCAST_TERMS else known
+    text = F.coalesce("text", F.lit(""))
+    both = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_key")).join(known, "text_key", "left")
+
+    def of(lower: Column, kind: str) -> Column:
+        rank = F.lit(KINDS.index(kind)).alias("rank")
+        return F.transform(spans(lower, F.col(kind)), lambda s: F.struct(rank, s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind")))
+
     none = F.expr("cast(array() as array<struct<rank:int,start:int,end:int,kind:string>>)")
-    found = F.sort_array(F.concat(base, F.coalesce("terms", none)))
-    return both.select("doc_id", "text_key", found.alias("found"))
+    base = F.coalesce(F.transform("mentions", lambda m: F.struct(m["rank"], m["start"], m["end"], m["kind"])), none)
+    blanked = F.when(F.col("mentions").isNotNull(), blank_spans(F.col("text"), F.col("mentions"))).otherwise(F.col("text"))
+    terms = let(ascii_lower(blanked), lambda lower: F.concat(*[of(lower, k) for k in TERM_KINDS]))
+    terms = F.when(F.coalesce(*TERM_KINDS).isNotNull(), terms).otherwise(none)
+    return both.select("doc_id", "text_key", F.sort_array(F.concat(base, terms)).alias("found"))
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
