@@ -173,6 +173,22 @@ def test_long_dialogues_come_in_parts(spark):
     assert spans == [f"t{i}<|im_end|>" for i in range(1, 1000, 2)]
 
 
+def test_turns_on_one_number_are_split(spark, monkeypatch):
+    """Null and repeated turn numbers, equal rows among them: parts stay small, and in order over several levels of sums."""
+    monkeypatch.setattr(perspectives, "BLOCK", 2)
+    turns = [(None, "a", f"n{i % 50}") for i in range(700)] + [(5, "ab"[i % 2], f"x{i:04}") for i in range(900)] + [(i, "b", "y") for i in range(200, 900)]
+    table = spark.createDataFrame([(c, *t) for c in (1, 2) for t in turns], "conv_id long, turn long, role string, text string").repartition(6)
+    found = rows_of(perspectives.rotate(table))
+    ordered = sorted(turns, key=lambda t: (-1 if t[0] is None else t[0], t[1], t[2]))
+    for conv, me in ((1, "a"), (1, "b"), (2, "a"), (2, "b")):
+        parts = sorted((r for r in found if (r["conv_id"], r["perspective"]) == (conv, me)), key=lambda r: r["part"])
+        assert [r["part"] for r in parts] == list(range(len(parts))) and max(r["n_turns"] for r in parts) <= perspectives.PART
+        text = "".join(r["text"] for r in parts)
+        assert text == "".join(f"<|im_start|>{'assistant' if s == me else 'user name=' + s}\n{x}<|im_end|>\n" for _, s, x in ordered)
+        assert [r["start"] for r in parts] == np.cumsum([0] + [len(r["text"]) for r in parts])[:-1].tolist()
+        assert [text[m["start"] : m["end"]] for r in parts for m in r["masks"]] == [f"{x}<|im_end|>" for _, s, x in ordered if s == me]
+
+
 # -- pipeline ----------------------------------------------------------------------------------
 
 

@@ -34,10 +34,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query(
     "op1_perspective_rotation",
     """
-    WITH t AS (SELECT conv_id, turn, floor(turn / 64.0) AS b,
+    WITH u AS (SELECT conv_id, turn, floor(turn / 64.0) AS part,
         replace(replace(coalesce(role, 'unknown'), '<|im_', '<| im_'), chr(10), ' ') AS s,
         replace(coalesce(text, ''), '<|im_', '<| im_') AS x
       FROM conversations WHERE conv_id IS NOT NULL),
+    t AS (SELECT *, {'p': coalesce(part, -1e18),
+        'r': (row_number() OVER (PARTITION BY conv_id, part ORDER BY turn NULLS FIRST, s, x) - 1) // 64} AS b FROM u),
     p AS (SELECT DISTINCT conv_id, s AS perspective FROM t WHERE s <> 'system'),
     h AS (SELECT conv_id, perspective, b, turn, s, x, s = perspective AS own,
         '<|im_start|>' || CASE WHEN s = perspective THEN 'assistant' WHEN s = 'system' THEN s ELSE 'user name=' || s END || chr(10) AS head
