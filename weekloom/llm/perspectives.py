@@ -115,7 +115,8 @@ def rotate(conversations: DataFrame, context_roles: tuple[str, ...] = CONTEXT_RO
         "conv_id", "perspective", "part", "sub", "n_turns", F.array_join("s.text", "").alias("text"), F.aggregate("s", zero, add)["masks"].alias("masks")
     )
     length = F.aggregate("s", F.lit(0).cast("long"), lambda n, x: n + F.length(x["text"]))
-    offsets = _offsets(rendered.select("conv_id", "perspective", "part", "sub", length.alias("length")))
+    lengths = stage(rendered.select("conv_id", "perspective", "part", "sub", length.alias("length")), "part-lengths")
+    offsets = _offsets(lengths)
     placed = flat.join(offsets, ["conv_id", "perspective", "part", "sub"]).drop("part").withColumnRenamed("number", "part")
     masks = F.transform("masks", lambda m: F.struct((m["start"] + F.col("start")).alias("start"), (m["end"] + F.col("start")).alias("end")))
     return placed.select("conv_id", "perspective", "part", "start", "text", "n_turns", masks.alias("masks"))
