@@ -1,12 +1,14 @@
 """The whole job over raw CSV files made from the driver's tables, and the missing-value rules."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from weekloom import pipeline
 from weekloom.functions.columns import money_avg, money_sum, number
 from weekloom.operators import cleaning, features, forecast, model
-from weekloom.session import _STAGED
+from weekloom.session import stage, staging_root, staging_scope, unstage
 from weekloom.sources import runs
 from weekloom.sources.schemas import schema
 from weekloom.sources.star import StarTables
@@ -33,12 +35,14 @@ def raw_files(spark, folder):
 
 def test_the_whole_job(spark, tmp_path):
     roles = raw_files(spark, tmp_path / "raw")
+    other = stage(spark.range(5), "other")
+    before = set(os.listdir(staging_root(spark)))
     names = pipeline.run(spark, str(tmp_path / "raw"), str(tmp_path / "out"), model.TreeParams(max_iter=5, max_depth=3))
     out = runs.published(spark, str(tmp_path / "out"))
     assert set(out) == set(names) and runs.incomplete(spark, str(tmp_path / "out")) == []
     assert out["rejected_values"].count() == 0 and out["cleaning_log"].count() == 1
     assert len(names) == len(set(names)) and all(df.columns for df in out.values())
-    assert spark.sparkContext.applicationId not in _STAGED
+    assert set(os.listdir(staging_root(spark))) == before and other.count() == 5
     series = {r.category for r in out["weekly_by_category"].select("category").distinct().collect()}
     keys = out["forecast"].groupBy("category").agg(F.countDistinct("order_week").alias("n")).collect()
     assert {(r.category, r.n) for r in keys} == {(c, forecast.HORIZON) for c in series}
@@ -88,3 +92,23 @@ def test_forecasts_lose_no_series_and_no_week(spark):
     assert {p for (c, w), p in prices.items() if c != "Brand#7" and w != first} == {1.0}
     assert all(p != 1.0 for (c, w), p in prices.items() if c == "Brand#7" or w == first)
     assert features.weekly_features(weekly, star.holidays).count() == weekly.count()
+
+
+def test_staged_tables_have_an_owner(spark):
+    folders = lambda: set(os.listdir(staging_root(spark)))
+    other = stage(spark.range(3), "other")
+    before = folders()
+    with pytest.raises(ValueError), staging_scope(spark):
+        stage(spark.range(1), "inner")
+        raise ValueError
+    assert folders() == before
+    with staging_scope(spark):
+        inner = stage(spark.range(4), "inner")
+        with staging_scope(spark):
+            kept = stage(inner, "kept", keep=True)
+            stage(inner, "innermost")
+        assert inner.count() == 4
+    assert len(folders()) == len(before) + 1 and kept.count() == 4 and other.count() == 3
+    unstage(kept)
+    unstage(spark.range(2))
+    assert folders() == before and other.count() == 3

@@ -291,6 +291,7 @@ def recommend_prices(scenarios: DataFrame, max_move: float = MAX_MOVE) -> DataFr
     def chosen(field: str, otherwise: float | None) -> Column:
         return F.when(F.col("_accept"), F.col(f"best.{field}")).otherwise(F.lit(otherwise).cast("double"))
 
+    # Names and order of the output columns.
     return per.select(
         CATEGORY,
         chosen("scenario", 0.0).alias("scenario"),

@@ -16,6 +16,10 @@ from weekloom.sources.tables import require, standardize_columns
 TINY = 1e-9
 FLOOR = 1e-6
 BIAS_LIMIT = 5.0
+# The lines of advice.
+ADVICE_UNDER = "Underpredict by %.1f u; try scale x%.2f or add %.1f"
+ADVICE_OVER = "Overpredict by %.1f u; try scale x%.2f or add %.1f"
+ADVICE_KEEP = "OK; keep global calibration (x%.2f, +%.1f)"
 
 
 def _error() -> Column:
@@ -125,17 +129,10 @@ def validation_actions(per: DataFrame, pred: DataFrame, history: DataFrame) -> D
         .groupBy(CATEGORY)
         .agg(F.avg("avg_price").alias("avg_price_val"))
     )
-    line = "scale x%.2f or add %.1f"
     advice = (
-        F.when(
-            F.col("Bias") < -BIAS_LIMIT,
-            F.format_string(f"Underpredict by %.1f u; try {line}", -F.col("Bias"), "scale_b", "offset_a"),
-        )
-        .when(
-            F.col("Bias") > BIAS_LIMIT,
-            F.format_string(f"Overpredict by %.1f u; try {line}", "Bias", "scale_b", "offset_a"),
-        )
-        .otherwise(F.format_string("OK; keep global calibration (x%.2f, +%.1f)", "scale_b", "offset_a"))
+        F.when(F.col("Bias") < -BIAS_LIMIT, F.format_string(ADVICE_UNDER, -F.col("Bias"), "scale_b", "offset_a"))
+        .when(F.col("Bias") > BIAS_LIMIT, F.format_string(ADVICE_OVER, "Bias", "scale_b", "offset_a"))
+        .otherwise(F.format_string(ADVICE_KEEP, "scale_b", "offset_a"))
     )
     return (
         per.join(calibration_by_category(pred), CATEGORY, "left")
@@ -148,6 +145,7 @@ def validation_actions(per: DataFrame, pred: DataFrame, history: DataFrame) -> D
                 "Recommendation": advice,
             }
         )
+        # Names and order of the output columns.
         .select(
             CATEGORY, "n", "MAE", "wMAPE_pct", "Bias", "Actual_sum", "avg_price_val", "sum_abs_err",
             "Revenue_at_Risk", "PriorityScore", "scale_b", "offset_a", "Recommendation",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from weekloom.operators import audit, cleaning, features, forecast, model, pricing, validation
 from weekloom.operators.ensemble import TreeEnsemble, load_ensemble
 from weekloom.operators.model import NO_LEAK_PARAMS, TreeParams
-from weekloom.session import clear_staged
+from weekloom.session import staging_scope
 from weekloom.sources.schemas import AUDITED_COLUMNS
 from weekloom.sources.runs import Run
 from weekloom.sources.tables import first_file, read_parquet
@@ -127,20 +127,19 @@ def run(spark: SparkSession, raw_folder: str, out_folder: str, params: TreeParam
 
     All appear together (see runs.published): a job that fails leaves readers with the tables of the run before.
     """
-    raw, ledger = read_raw(spark, raw_folder)
-    job = Run(spark, out_folder)
-    try:
-        if ledger:
-            job.put("rejected_values", reduce(DataFrame.unionByName, ledger))
-        fact = clean(job, raw)
-        history, fitted = train(job, fact, raw.get("holidays"), params)
-        calibration = validate(job, history)
-        predict(job, history, fitted, calibration, raw)
-        recommend(job, history, fitted, calibration, raw)
-        job.publish()
-    except BaseException:
-        job.discard()
-        raise
-    finally:
-        clear_staged(spark)
+    with staging_scope(spark):
+        raw, ledger = read_raw(spark, raw_folder)
+        job = Run(spark, out_folder)
+        try:
+            if ledger:
+                job.put("rejected_values", reduce(DataFrame.unionByName, ledger))
+            fact = clean(job, raw)
+            history, fitted = train(job, fact, raw.get("holidays"), params)
+            calibration = validate(job, history)
+            predict(job, history, fitted, calibration, raw)
+            recommend(job, history, fitted, calibration, raw)
+            job.publish()
+        except BaseException:
+            job.discard()
+            raise
     return job.names

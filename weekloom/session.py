@@ -6,6 +6,10 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,27 +51,55 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
-_STAGED: dict[str, list[str]] = {}
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_SCOPE: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
 
 
-def clear_staged(spark: SparkSession) -> None:
-    """Remove the tables this application has staged; frames that read them are dead from then on."""
-    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def drop_path(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside belong to the scope and go at its end, however it ends.
+
+    Frames made inside are dead afterwards unless they were staged with ``keep``. Tables staged outside, by
+    other jobs of the application or other threads, are not touched. Scopes nest.
+    """
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for path in paths:
+            drop_path(spark, path)
+
+
+def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Used where several consumers need a small result of a large scan (the weekly series):
-    the facts are read once, the lineage ends, and later readers see true table sizes.
+    the facts are read once, the lineage ends, and later readers see true table sizes. With ``keep`` it
+    outlives the scope it is written in.
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    scope = _SCOPE.get()
+    if scope is not None and not keep:
+        scope.append(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    _PATHS[staged] = path
+    return staged
+
+
+def unstage(staged: DataFrame) -> None:
+    """Remove the table behind a frame that ``stage`` returned, once nothing reads it any more; other frames are left alone."""
+    path = _PATHS.pop(staged, None)
+    if path is not None:
+        drop_path(staged.sparkSession, path)
 
 
 _SHARED: set[str] = set()

@@ -14,6 +14,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from weekloom.session import drop_path
+
 _MANIFEST = "run string, name string, path string, rows long, columns string"
 
 
@@ -49,12 +51,7 @@ class Run:
 
     def discard(self) -> None:
         """Remove what an unpublished run has written."""
-        _remove(self.spark, f"{self.folder}/runs/{self.name}")
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        drop_path(self.spark, f"{self.folder}/runs/{self.name}")
 
 
 def manifests(spark: SparkSession, folder: str) -> DataFrame:
@@ -85,6 +82,6 @@ def expire(spark: SparkSession, folder: str, keep: int = 2) -> list[str]:
     """Remove all published runs but the newest ``keep``, manifests first; returns their names. Readers of those should have ended."""
     names = sorted((r.run for r in manifests(spark, folder).select("run").distinct().collect()), reverse=True)
     for name in names[max(keep, 1) :]:
-        _remove(spark, f"{folder}/manifests/{name}")
-        _remove(spark, f"{folder}/runs/{name}")
+        drop_path(spark, f"{folder}/manifests/{name}")
+        drop_path(spark, f"{folder}/runs/{name}")
     return names[max(keep, 1) :]
