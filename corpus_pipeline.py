@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from weekloom.llm import decontaminate, packing, quality, secret_scan, simhash
-from weekloom.session import share_code, stage
+from weekloom.session import share_code, stage, staging_scope, unstage
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,10 +52,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other, over the whole table; each result is written and read again."""
+    """All stages, one after the other, over the whole table; each result is written and read again.
+
+    What a stage has staged on its way goes when its result is written, and so does the result before.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, step) in enumerate(STAGES):
-        docs = step(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = stage(docs, f"pipeline-{k}")
-    return docs
+    for k, (_, step) in enumerate(STAGES[:-1]):
+        with staging_scope(spark):
+            result = stage(step(spark, docs, sf_dir), f"pipeline-{k}", keep=True)
+        unstage(docs)
+        docs = result
+    return STAGES[-1][1](spark, docs, sf_dir)
