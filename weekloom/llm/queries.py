@@ -149,7 +149,7 @@ def _licence_sql() -> str:
     return rf"""
     WITH d AS (SELECT doc_id, list_transform(
         list_filter(string_split_regex(coalesce(text, ''), {quoted(licences.BREAK)}), lambda s: regexp_matches(s, {quoted(licences.HINT)})),
-        lambda s: trim(regexp_replace(lower(s), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))) AS ns FROM documents),
+        lambda s: trim(regexp_replace(regexp_replace(lower(s), {quoted(licences.LATER)}, '\1 or later ', 'g'), {quoted(licences.GAP)}, ' ', 'g'))) AS ns FROM documents),
     i AS (SELECT doc_id, list_transform(ns, lambda n: list_filter([{known}], lambda v: v IS NOT NULL)) AS ids FROM d),
     q0 AS (SELECT doc_id, ids, coalesce(array_to_string(list_transform(flatten(ids), lambda v: '[' || v || ']'), ''), '') AS s0 FROM i){steps}
     SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_sentences, CAST(len(list_filter(ids, lambda v: len(v) = 0)) AS BIGINT) AS n_unknown,
