@@ -20,6 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from weekloom.functions.moments import line
 from weekloom.operators.features import CATEGORY, WEEK
 
 TARGET = "units"
@@ -139,9 +140,10 @@ def train_demand_model(
 
 def fit_linear_by_group(df: DataFrame, y: str, x: str, group: str = CATEGORY) -> DataFrame:
     """Least-squares line per group; b=1, a=0 for fewer than two points or constant ``x``."""
+    fit = line(y, x)
     return df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(group).agg(
-        F.coalesce(F.regr_intercept(y, x), F.lit(0.0)).alias("a"),
-        F.coalesce(F.regr_slope(y, x), F.lit(1.0)).alias("b"),
+        F.coalesce(fit.intercept, F.lit(0.0)).alias("a"),
+        F.coalesce(fit.slope, F.lit(1.0)).alias("b"),
     )
 
 
@@ -185,12 +187,8 @@ def fit_score_linear(df: DataFrame, y: str, x: str, group: str = CATEGORY) -> Da
     w = W.partitionBy(group)
     usable = (F.col("split") == "train") & F.col(x).isNotNull() & F.col(y).isNotNull()
     ty, tx = F.when(usable, F.col(y)), F.when(usable, F.col(x))
-    lines = df.withColumns(
-        {
-            "a": F.coalesce(F.regr_intercept(ty, tx).over(w), F.lit(0.0)),
-            "b": F.coalesce(F.regr_slope(ty, tx).over(w), F.lit(1.0)),
-        }
-    )
+    fit = line(ty, tx, over=w)
+    lines = df.withColumns({"a": F.coalesce(fit.intercept, F.lit(0.0)), "b": F.coalesce(fit.slope, F.lit(1.0))})
     return lines.withColumn("prediction", F.col("a") + F.col("b") * F.col(x)).drop("a", "b")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.functions.grouped import one_row, top_k
+from weekloom.functions.moments import line, squares
 from weekloom.operators.features import CATEGORY, WEEK
 from weekloom.sources.schemas import FORECAST_ALIASES
 from weekloom.sources.tables import require, standardize_columns
@@ -26,18 +27,13 @@ def _error() -> Column:
     return F.col("yhat") - F.col("y")
 
 
-def _squared_correlation(a: str, b: str) -> Column:
-    """corr(a, b) squared; NULL where either side is constant (``corr`` would raise there)."""
-    return F.try_divide(F.pow(F.regr_sxy(a, b), F.lit(2)), F.regr_sxx(a, b) * F.regr_syy(a, b))
-
-
 def overall_metrics(pred: DataFrame) -> DataFrame:
     err = F.abs(_error())
     return pred.agg(
         F.avg(err).alias("MAE"),
         (F.sum(err) / F.greatest(F.lit(TINY), F.sum(F.abs("y")))).alias("wMAPE"),
         F.avg(_error()).alias("Bias"),
-        _squared_correlation("y", "yhat").alias("R2"),
+        line("y", "yhat").r2.alias("R2"),
     )
 
 
@@ -48,9 +44,9 @@ def training_metrics(pred: DataFrame, split_sizes: DataFrame | None = None, r2:
     """
     y, yhat = F.greatest(F.col("y"), F.lit(FLOOR)), F.greatest(F.col("yhat"), F.lit(FLOOR))
     if r2 == "sse":
-        fit = 1 - F.try_divide(F.sum(F.pow(_error(), 2)), F.regr_syy("y", "y"))
+        fit = 1 - F.try_divide(squares(_error()), line("y", "y").syy)
     elif r2 == "corr":
-        fit = _squared_correlation("y", "yhat")
+        fit = line("y", "yhat").r2
     else:
         raise ValueError(f"unknown r2: {r2}")
     metrics = pred.agg(
@@ -79,7 +75,7 @@ def metrics_by_category(pred: DataFrame) -> DataFrame:
         F.avg(_error()).alias("Bias"),
         F.sum("y").alias("Actual_sum"),
         F.avg(F.abs((F.col("y") - F.col("yhat")) / F.greatest(F.col("y"), F.lit(FLOOR)))).alias("MAPE"),
-        _squared_correlation("y", "yhat").alias("R2"),
+        line("y", "yhat").r2.alias("R2"),
     )
     per = per.withColumn("wMAPE", F.col("sum_abs_err") / F.greatest(F.col("sum_abs_y"), F.lit(TINY)))
     return per.orderBy(F.desc_nulls_last("wMAPE"), CATEGORY)
@@ -103,14 +99,16 @@ def worst_categories(per: DataFrame, view: str, k: int = 15) -> DataFrame:
 
 
 def calibration_global(pred: DataFrame) -> DataFrame:
-    return pred.agg(F.regr_intercept("y", "yhat").alias("intercept"), F.regr_slope("y", "yhat").alias("slope"))
+    fit = line("y", "yhat")
+    return pred.agg(fit.intercept.alias("intercept"), fit.slope.alias("slope"))
 
 
 def calibration_by_category(pred: DataFrame) -> DataFrame:
     """y = offset_a + scale_b * yhat per category; identity where no line can be fitted."""
+    fit = line("y", "yhat")
     return pred.groupBy(CATEGORY).agg(
-        F.coalesce(F.regr_slope("y", "yhat"), F.lit(1.0)).alias("scale_b"),
-        F.coalesce(F.regr_intercept("y", "yhat"), F.lit(0.0)).alias("offset_a"),
+        F.coalesce(fit.slope, F.lit(1.0)).alias("scale_b"),
+        F.coalesce(fit.intercept, F.lit(0.0)).alias("offset_a"),
         F.avg(_error()).alias("Bias_units"),
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from weekloom.functions.columns import same_number
 from weekloom.functions.grouped import ranked_within, top_k
+from weekloom.functions.moments import line
 from weekloom.operators.features import CATEGORY, WEEK
 
 
@@ -48,10 +49,11 @@ def scatter_fit(unified: DataFrame, params: DataFrame | None = None, min_points:
     ``params`` (category, a, b) replace the fitted line where they are known.
     """
     points = unified.dropna(subset=["units_base", "units_cal"])
+    fit = line("units_cal", "units_base")
     per = points.groupBy(CATEGORY).agg(
         F.count("*").alias("n"),
-        F.regr_intercept("units_cal", "units_base").alias("a"),
-        F.regr_slope("units_cal", "units_base").alias("b"),
+        fit.intercept.alias("a"),
+        fit.slope.alias("b"),
         F.min("units_base").alias("x_min"),
         F.max("units_base").alias("x_max"),
         (F.greatest(F.max("units_base"), F.max("units_cal")) * 1.05).alias("axis_max"),
