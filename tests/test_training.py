@@ -1,6 +1,10 @@
-"""The check of a saved model against its node table: read once, walked by all tasks."""
+"""Training on checkpointed vectors; the check of a saved model against its node table: read once, walked by all tasks."""
+
+import glob
 
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from checks import series
@@ -35,3 +39,33 @@ def test_d2_reads_the_model_once_and_walks_in_all_tasks(spark, table, tmp_path,
     assert read == [str(tmp_path / "m")]
     assert scored.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism > 1
     assert scored.count() == table.count() and scored.where("predicted AND same").count() == table.count()
+
+
+def test_trees_are_fitted_on_a_checkpoint_and_are_those_of_one_pipeline(spark, table, monkeypatch):
+    seen, fit = [], GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, rows, *more: seen.append((self, rows)) or fit(self, rows, *more))
+    trained = model.train_demand_model(table, params=PARAMS)
+    [(trees, rows)] = seen
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert rows.columns == ["units", "features"] and "LogicalRDD" in plan and "Relation" not in plan and "Project" not in plan
+    saved = rows._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get()
+    assert not glob.glob(saved.removeprefix("file:"))
+    train = table.where("split = 'train'").select("category", "units", *trained.features).repartition(1)
+    monkeypatch.undo()
+    one = Pipeline(stages=[*trained.pipeline.stages[:-1], trees]).fit(train)
+    words = lambda found: found.stages[-1].toDebugString.split("\n", 1)[1]
+    assert "If (feature" in words(one) and words(one) == words(trained.pipeline)
+
+
+def test_rows_of_a_failed_training_do_not_stay(spark, table, monkeypatch):
+    seen = []
+
+    def fail(self, rows):
+        seen.append(rows._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get().removeprefix("file:"))
+        assert glob.glob(seen[0])
+        raise KeyError("no trees")
+
+    monkeypatch.setattr(GBTRegressor, "fit", fail)
+    with pytest.raises(KeyError):
+        model.train_demand_model(table, params=PARAMS)
+    assert not glob.glob(seen[0])
