@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from checks import series
 from checks.registry import QUERIES
 from weekloom.operators import features, model
+from weekloom.operators.ensemble import load_ensemble
 from weekloom.session import stage
 
 PARAMS = model.TreeParams(max_iter=4, max_depth=3, feature_subset="0.9")
@@ -69,3 +70,15 @@ def test_rows_of_a_failed_training_do_not_stay(spark, table, monkeypatch):
     with pytest.raises(KeyError):
         model.train_demand_model(table, params=PARAMS)
     assert not glob.glob(seen[0])
+
+
+def test_forecasts_read_the_saved_nodes_but_not_the_model_again(spark, table, tmp_path, monkeypatch):
+    trained = model.train_demand_model(table, params=PARAMS)
+    trained.save(str(tmp_path / "m"))
+    known = load_ensemble(str(tmp_path / "m"))
+    monkeypatch.setattr(series, "trained", lambda t, with_revenue=False: (table, trained, str(tmp_path / "m")))
+    monkeypatch.setattr(model.DemandModel, "load", staticmethod(lambda path: pytest.fail("the model is read again")))
+    found_table, trees = series.ensemble(None)
+    assert found_table is table
+    assert (trees.categories, trees.columns, trees.depth) == (known.categories, known.columns, known.depth)
+    assert sorted(trees.nodes.collect()) == sorted(known.nodes.collect())
